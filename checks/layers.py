@@ -71,17 +71,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("silver_normalize", orders(f"SELECT {CANONICAL_SQL} FROM normal", NORMAL))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.normalize(views.orders_in(spark, sf_dir)).select(*CANONICAL_COLUMNS)
+    return clean.normalize(views.raw_orders(spark, sf_dir)).select(*CANONICAL_COLUMNS)
 
 
 @check("silver_valid", orders(f"SELECT {CANONICAL_SQL} FROM normal WHERE {VALID}", NORMAL))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.valid_rows(clean.normalize(views.orders_in(spark, sf_dir))).select(*CANONICAL_COLUMNS)
+    return clean.valid_rows(clean.normalize(views.raw_orders(spark, sf_dir))).select(*CANONICAL_COLUMNS)
 
 
 @check("quarantine_rows", orders(f"SELECT {CANONICAL_SQL} FROM normal WHERE NOT ({VALID})", NORMAL))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.quarantined_rows(clean.normalize(views.orders_in(spark, sf_dir))).select(*CANONICAL_COLUMNS)
+    return clean.quarantined_rows(clean.normalize(views.raw_orders(spark, sf_dir))).select(*CANONICAL_COLUMNS)
 
 
 @check("silver_dedup_latest", orders(f"SELECT {CANONICAL_SQL}, supplier FROM silver", SILVER))
@@ -94,7 +94,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders(f"SELECT count(*) - count(DISTINCT order_id) AS dedup_removed FROM normal WHERE {VALID}", NORMAL),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid = clean.valid_rows(clean.normalize(views.orders_in(spark, sf_dir)))
+    valid = clean.valid_rows(clean.normalize(views.raw_orders(spark, sf_dir)))
     return valid.agg((F.count("*") - F.count_distinct("order_id")).alias("dedup_removed"))
 
 
@@ -183,6 +183,6 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = views.orders_in(spark, sf_dir)
+    raw = views.raw_orders(spark, sf_dir)
     key = composite_key(F.col("customer_id"), F.col("category"), F.col("product_id"))
     return raw.select("order_id", "supplier", "updated_at", key.alias("order_key"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.adapt import adapt_taxi
@@ -15,10 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """one order per line item, with null customers, null and negative amounts."""
     pin_utc(spark)
-    lines = table(spark, sf_dir, "lineitem").select("*", F.col("_metadata.file_name").alias("file_name"))
+    lines = table(spark, sf_dir, "lineitem")
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     key = F.col("l_orderkey")
     return (
@@ -37,17 +37,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("amount"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
             F.col("l_suppkey").alias("supplier"),
-            "file_name",
+            *extra,
         )
     )
 
 
-def orders_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_orders(spark, sf_dir).drop("file_name")
-
-
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_silver(orders_in(spark, sf_dir))
+    return build_silver(raw_orders(spark, sf_dir))
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
@@ -18,14 +18,15 @@ ROWS_PER_TASK = 4_000_000
 MAX_SLOTS = 100_000
 
 
-def positions(
+def running(
     df: DataFrame,
     order_by: Sequence[Column],
     within: Sequence[str] = (),
+    weight: str | None = None,
     out: str = "rn",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add the 1-based place of each row within its group.
+    """Add the 1-based place of each row within its group, or the running sum of its weight.
 
     order_by must leave no ties inside a group. df is read up to three times,
     so it should be a stored table.
@@ -34,8 +35,7 @@ def positions(
     sizes = df.groupBy(*within).agg(F.count("*").alias("n")) if within else df.agg(F.count("*").alias("n"))
     largest, rows = sizes.agg(F.max("n"), F.sum("n")).first()
     if (largest or 0) <= rows_per_task:
-        window = Window.partitionBy(*within).orderBy(*order_by)
-        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+        return df.withColumn(out, _place(Window.partitionBy(*within).orderBy(*order_by), weight))
 
     # Sort the rows across slots of about rows_per_task rows. They are stored
     # with their slot number because the slot bounds come from a sample, which
@@ -47,17 +47,17 @@ def positions(
         ),
         "placed",
     )
-    local = Window.partitionBy("_slot", *within).orderBy(*order_by)
-    numbered = placed.withColumn("_local", F.row_number().over(local))
+    numbered = placed.withColumn("_local", _place(Window.partitionBy("_slot", *within).orderBy(*order_by), weight))
 
-    # Rows of the same group in earlier slots. Slots are contiguous, so at most
+    # What the same group holds in earlier slots. Slots are contiguous, so at most
     # one group runs on into a slot: no more rows than slots, hence the broadcast.
     earlier = Window.partitionBy(*within).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    held = F.count("*") if weight is None else F.sum(weight)
     carry = (
         placed.groupBy("_slot", *within)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(earlier))
-        .where("_before > 0")
+        .agg(held.alias("_held"))
+        .withColumn("_before", F.sum("_held").over(earlier))
+        .where(F.col("_before").isNotNull())
         .select("_slot", *within, "_before")
     )
     match = F.col("a._slot") == F.col("b._slot")
@@ -71,6 +71,23 @@ def positions(
     )
 
 
+def _place(window: WindowSpec, weight: str | None) -> Column:
+    if weight is None:
+        return F.row_number().over(window).cast("bigint")
+    return F.sum(weight).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+def positions(
+    df: DataFrame,
+    order_by: Sequence[Column],
+    within: Sequence[str] = (),
+    out: str = "rn",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """ROW_NUMBER() over the order, for groups of any size."""
+    return running(df, order_by, within, None, out, rows_per_task)
+
+
 def bucket_of(place: Column, rows: int, buckets: int) -> Column:
     """The ntile bucket of a place among so many rows: the first rows % buckets are one longer."""
     size, longer = divmod(rows, buckets)
