@@ -57,16 +57,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapt_taxi(views.trips(spark, sf_dir))
 
 
-@check(
-    "bronze_stamp",
-    orders(f"SELECT {CANONICAL_SQL}, 'lineitem.parquet' AS source_file FROM raw", ""),
-)
+@check("bronze_stamp", events(f"SELECT {CANONICAL_SQL}, 'events.parquet' AS source_file FROM raw", ""))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the rows come from a join, so the scan's file name was kept by the view
-    raw = views.raw_orders(spark, sf_dir)
-    return stamp(raw, INGESTED_AT, "").withColumn("source_file", F.col("file_name")).select(
-        *CANONICAL_COLUMNS, "source_file"
-    )
+    return stamp(views.raw_events(spark, sf_dir), INGESTED_AT).select(*CANONICAL_COLUMNS, "source_file")
 
 
 @check("silver_normalize", orders(f"SELECT {CANONICAL_SQL} FROM normal", NORMAL))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +20,19 @@ from tidemark.operators.incremental import changed_days, merge_latest, newer_tha
 from tidemark.operators.profile import profile, summary
 from tidemark.operators.silver import latest_per_order, normalize, quarantined_rows, valid_rows
 from tidemark.plans.cohort import cohort_retention
-from tidemark.plans.kpis import KPIS
-from tidemark.plans.validation import VALIDATIONS
+from tidemark.plans.kpis import kpi_suite
+from tidemark.plans.validation import validation_suite
 from tidemark.session import materialize, pin_utc
 from tidemark.sinks.files import write_bronze, write_csv, write_parquet, write_quarantine
-from tidemark.sinks.versions import Versions
+from tidemark.sinks.versions import State, Versions
 from tidemark.sources.layers import register_views
 from tidemark.sources.raw import read_raw
 
 # As large as the fact, so stored as Parquet and not as CSV.
 FACT_SIZED = {"kpi_order_rank_per_customer"}
 
+WRITES_AT_ONCE = 4
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -82,15 +87,15 @@ def run(
         all_valid, taken = taken, new.count()
         skipped, changed = all_valid - taken, taken > 0
         if changed:
-            days = _merge(silver, new, run_id)
+            days = merge_days(silver, was, new, run_id)
     else:
         skipped, changed = 0, True
-        silver.publish(latest_per_order(valid), run_id)
-    now = silver.state()
+        silver.publish(latest_per_order(valid), run_id, at_most=taken)
+    now = silver.state() if changed else was
     removed = (taken + (was.rows if days is not None else 0) - now.rows) if changed else 0
 
     orders = silver.read(now)
-    tables = _gold(spark, orders, f"{output_root}/gold", was.version, now.version, days)
+    tables = _gold(orders, f"{output_root}/gold", was.version, now, days)
     tables |= {"bronze_orders": bronze, "silver_orders": orders}
     register_views(tables)
     if reports:
@@ -100,13 +105,13 @@ def run(
     )
 
 
-def _merge(silver: Versions, new: DataFrame, run_id: str) -> list:
+def merge_days(silver: Versions, was: State, new: DataFrame, run_id: str) -> list:
     """Rewrite the days of Silver that the new rows touch; give those days."""
-    existing = silver.read()
+    existing = silver.read(was)
     incoming = materialize(latest_per_order(new), "incoming")
     days = [r.order_date for r in changed_days(existing, incoming).collect()]
     merged = merge_latest(existing.where(F.col("order_date").isin(days)), incoming)
-    silver.publish(merged, run_id, days)
+    silver.publish(merged, run_id, days, at_most=was.rows + incoming.count())
     return days
 
 
@@ -115,7 +120,7 @@ def _same_rows(a: DataFrame, b: DataFrame) -> bool:
 
 
 def _gold(
-    spark: SparkSession, orders: DataFrame, root: str, silver_was: str | None, silver_now: str, days: list | None
+    orders: DataFrame, root: str, silver_was: str | None, silver_now: State, days: list | None
 ) -> dict[str, DataFrame]:
     """Bring the star in line with Silver and give its stored tables.
 
@@ -123,30 +128,41 @@ def _gold(
     changed days are rebuilt when it was in line before this run and no
     category got another key.
     """
+    spark = orders.sparkSession
     fact = Versions(spark, f"{root}/fact_orders")
     built_from = fact.state().version
     star_tables = star.build_star(orders)
     paths = {name: f"{root}/{name}" for name in star_tables if name != "fact_orders"}
-    if built_from != silver_now:
+    if built_from != silver_now.version:
         in_line = days is not None and built_from is not None and built_from == silver_was
         if in_line:
             categories = star_tables["dim_category"]
             in_line = _same_rows(categories, spark.read.schema(categories.schema).parquet(paths["dim_category"]))
-        for name, path in paths.items():
-            write_parquet(star_tables[name], path)
-        rows = star_tables["fact_orders"]
-        fact.publish(rows.where(F.col("order_date").isin(days)) if in_line else rows, silver_now, days if in_line else None)
+        _at_once([partial(write_parquet, star_tables[name], path) for name, path in paths.items()])
+        rows, part = star_tables["fact_orders"], days if in_line else None
+        if part is not None:
+            rows = rows.where(F.col("order_date").isin(part))
+        fact.publish(rows, silver_now.version, part, at_most=silver_now.rows)
     stored = {name: spark.read.schema(star_tables[name].schema).parquet(path) for name, path in paths.items()}
     return stored | {"fact_orders": fact.read()}
 
 
 def _report(tables: dict[str, DataFrame], root: str, exact_profile: bool) -> None:
-    for name, kpi in KPIS.items():
-        write = write_parquet if name in FACT_SIZED else write_csv
-        write(kpi(tables), f"{root}/kpis/{name}")
-    write_csv(cohort_retention(tables["fact_orders"]), f"{root}/kpis/cohort_retention")
-    for name, validation in VALIDATIONS.items():
-        write_csv(validation(tables), f"{root}/validation/{name}")
+    results = kpi_suite(tables) | {"cohort_retention": cohort_retention(tables["fact_orders"])}
+    writes = [
+        partial(write_parquet if name in FACT_SIZED else write_csv, df, f"{root}/kpis/{name}")
+        for name, df in results.items()
+    ]
+    writes += [partial(write_csv, df, f"{root}/validation/{name}") for name, df in validation_suite(tables).items()]
     profiled = materialize(profile(tables["silver_orders"], exact=exact_profile), "profile")
-    write_csv(profiled, f"{root}/reports/data_profile")
-    write_csv(summary(profiled), f"{root}/reports/data_quality_summary")
+    writes += [
+        partial(write_csv, profiled, f"{root}/reports/data_profile"),
+        partial(write_csv, summary(profiled), f"{root}/reports/data_quality_summary"),
+    ]
+    _at_once(writes)
+
+
+def _at_once(writes: list[Callable[[], None]]) -> None:
+    """Start independent small writes together, so that one's last tasks do not hold up the next."""
+    with ThreadPoolExecutor(WRITES_AT_ONCE) as pool:
+        list(pool.map(lambda write: write(), writes))

@@ -6,55 +6,72 @@ or day with much of the data is reduced in the map tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import exact_avg, exact_sum, partial_sums, resum, running_total, total
+from tidemark.functions.money import exact_sum, partial_sums, resum, running_total, total
 from tidemark.functions.time import week_of
 from tidemark.operators.ranking import ROWS_PER_TASK, ntile, positions
 from tidemark.session import materialize
 
-Tables = Mapping[str, DataFrame]
+# The columns of the fact that ranking its orders needs.
+RANKED = ["customer_id", "order_id", "order_ts", "gross_revenue"]
 
 
 def _revenue() -> Column:
     return exact_sum(F.col("gross_revenue"))
 
 
-def daily_revenue(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(F.to_date("order_ts").alias("order_day")).agg(_revenue().alias("revenue")).orderBy("order_day")
+def by_day(fact: DataFrame) -> DataFrame:
+    """Revenue (in parts that add up exactly) and orders per day; most KPIs over time need no more."""
+    return fact.groupBy(F.to_date("order_ts").alias("order_day")).agg(
+        *partial_sums(F.col("gross_revenue"), "revenue"), F.count("gross_revenue").alias("orders")
+    )
+
+
+def by_customer(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("customer_id").agg(_revenue().alias("total_revenue"), F.count("*").alias("order_count"))
+
 
+def by_category(fact: DataFrame, dim_category: DataFrame) -> DataFrame:
+    """Revenue and units per category, summed by the key before the category is looked up."""
+    per_key = fact.groupBy("category_sk").agg(_revenue().alias("revenue"), F.sum("quantity").alias("units"))
+    return per_key.join(dim_category, "category_sk", "left").select("category", "revenue", "units")
 
-def revenue_by_week(fact: DataFrame) -> DataFrame:
-    week = week_of(F.col("order_ts")).alias("order_week")
-    return fact.groupBy(week).agg(_revenue().alias("revenue")).orderBy("order_week")
 
+def daily_revenue(days: DataFrame) -> DataFrame:
+    return days.select("order_day", total("revenue").alias("revenue")).orderBy("order_day")
 
-def revenue_lag(fact: DataFrame) -> DataFrame:
+
+def revenue_by_week(days: DataFrame) -> DataFrame:
+    weeks = days.groupBy(week_of(F.col("order_day")).alias("order_week")).agg(*resum("revenue"))
+    return weeks.select("order_week", total("revenue").alias("revenue")).orderBy("order_week")
+
+
+def revenue_lag(days: DataFrame) -> DataFrame:
     """Each day's revenue beside that of the last day before it that has any."""
-    # one row per day is left when the window starts, so one task is enough
-    days = fact.groupBy(F.to_date("order_ts").alias("order_day")).agg(_revenue().alias("revenue"))
+    # one row per day, so one task is enough for the window
     previous = F.lag("revenue").over(Window.orderBy("order_day"))
-    return days.withColumn("prev_day_revenue", previous).orderBy("order_day")
+    return daily_revenue(days).withColumn("prev_day_revenue", previous).orderBy("order_day")
 
 
-def running_revenue(fact: DataFrame) -> DataFrame:
-    days = fact.groupBy(F.to_date("order_ts").alias("order_day")).agg(*partial_sums(F.col("gross_revenue"), "day"))
+def running_revenue(days: DataFrame) -> DataFrame:
     so_far = Window.orderBy("order_day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return days.select(
-        "order_day", total("day").alias("revenue"), running_total("day", so_far).alias("running_revenue")
-    ).orderBy("order_day")
+    running = running_total("revenue", so_far)
+    return days.select("order_day", total("revenue").alias("revenue"), running.alias("running_revenue")).orderBy(
+        "order_day"
+    )
 
 
-def avg_order_value(fact: DataFrame) -> DataFrame:
-    return fact.agg(exact_avg(F.col("gross_revenue")).alias("avg_order_value"))
+def avg_order_value(days: DataFrame) -> DataFrame:
+    whole = days.agg(*resum("revenue"), F.sum("orders").alias("orders"))
+    return whole.select((total("revenue") / F.nullif(F.col("orders"), F.lit(0))).alias("avg_order_value"))
 
 
-def orders_per_customer(fact: DataFrame) -> DataFrame:
-    counts = fact.groupBy("customer_id").agg(F.count("*").alias("order_count"))
-    return counts.orderBy(F.desc("order_count"), "customer_id")
+def orders_per_customer(customers: DataFrame) -> DataFrame:
+    return customers.select("customer_id", "order_count").orderBy(F.desc("order_count"), "customer_id")
 
 
 def peak_hour(fact: DataFrame) -> DataFrame:
@@ -67,26 +84,17 @@ def top_products(fact: DataFrame, k: int = 5) -> DataFrame:
     return revenue.orderBy(F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()).limit(k)
 
 
-def _named(per_key: DataFrame, dim_category: DataFrame) -> DataFrame:
-    return per_key.join(dim_category, "category_sk", "left")
-
-
-def top_categories(fact: DataFrame, dim_category: DataFrame, k: int = 5) -> DataFrame:
-    per_key = fact.groupBy("category_sk").agg(_revenue().alias("revenue"))
+def top_categories(categories: DataFrame, k: int = 5) -> DataFrame:
     return (
-        _named(per_key, dim_category)
-        .select("category", "revenue")
+        categories.select("category", "revenue")
         .orderBy(F.col("revenue").desc_nulls_last(), F.col("category").asc_nulls_last())
         .limit(k)
     )
 
 
-def quantity_by_category(fact: DataFrame, dim_category: DataFrame) -> DataFrame:
-    per_key = fact.groupBy("category_sk").agg(F.sum("quantity").alias("units"))
-    return (
-        _named(per_key, dim_category)
-        .select("category", "units")
-        .orderBy(F.col("units").desc_nulls_last(), F.col("category").asc_nulls_last())
+def quantity_by_category(categories: DataFrame) -> DataFrame:
+    return categories.select("category", "units").orderBy(
+        F.col("units").desc_nulls_last(), F.col("category").asc_nulls_last()
     )
 
 
@@ -121,7 +129,7 @@ def order_rank_per_customer(
     With top_n Spark drops the other orders in the map tasks. Without it every
     order is ranked; fact should then be a stored table (see positions()).
     """
-    orders = fact.select("customer_id", "order_id", "order_ts", "gross_revenue")
+    orders = fact.select(*RANKED)
     greatest = [F.col("gross_revenue").desc_nulls_last(), F.col("order_id").asc()]
     if top_n is None:
         ranked = positions(orders, greatest, within=["customer_id"], rows_per_task=rows_per_task)
@@ -131,25 +139,37 @@ def order_rank_per_customer(
     return ranked.select("customer_id", "order_ts", "gross_revenue", "rn")
 
 
-def customer_ntile(fact: DataFrame, buckets: int = 4, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Revenue quartile of each customer, lowest first; equal revenue in customer_id order."""
-    totals = materialize(fact.groupBy("customer_id").agg(_revenue().alias("total_revenue")), "customer_totals")
+def customer_ntile(customers: DataFrame, buckets: int = 4, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Revenue quartile of each customer, lowest first; equal revenue in customer_id order.
+
+    customers should be stored, see ntile().
+    """
+    totals = customers.select("customer_id", "total_revenue")
     ascending = [F.col("total_revenue").asc_nulls_last(), F.col("customer_id").asc_nulls_last()]
     return ntile(totals, buckets, ascending, "revenue_quartile", rows_per_task)
 
 
-# What reports read, by the name each result is stored under.
-KPIS: dict[str, Callable[[Tables], DataFrame]] = {
-    "kpi_daily_revenue": lambda t: daily_revenue(t["fact_orders"]),
-    "kpi_top_categories": lambda t: top_categories(t["fact_orders"], t["dim_category"]),
-    "kpi_order_rank_per_customer": lambda t: order_rank_per_customer(t["fact_orders"]),
-    "kpi_revenue_lag": lambda t: revenue_lag(t["fact_orders"]),
-    "kpi_running_revenue": lambda t: running_revenue(t["fact_orders"]),
-    "kpi_customer_ntile": lambda t: customer_ntile(t["fact_orders"]),
-    "kpi_avg_order_value": lambda t: avg_order_value(t["fact_orders"]),
-    "kpi_orders_per_customer": lambda t: orders_per_customer(t["fact_orders"]),
-    "kpi_peak_hour": lambda t: peak_hour(t["fact_orders"]),
-    "kpi_top_products": lambda t: top_products(t["fact_orders"]),
-    "kpi_revenue_by_week": lambda t: revenue_by_week(t["fact_orders"]),
-    "kpi_quantity_by_category": lambda t: quantity_by_category(t["fact_orders"], t["dim_category"]),
-}
+def kpi_suite(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The twelve KPIs over stored Gold tables, by the name each result is stored under.
+
+    What several KPIs share is summed up and stored once, not scanned from the
+    fact for each.
+    """
+    fact = tables["fact_orders"]
+    days = materialize(by_day(fact), "by_day")
+    customers = materialize(by_customer(fact), "by_customer")
+    categories = materialize(by_category(fact, tables["dim_category"]), "by_category")
+    return {
+        "kpi_daily_revenue": daily_revenue(days),
+        "kpi_top_categories": top_categories(categories),
+        "kpi_order_rank_per_customer": order_rank_per_customer(fact),
+        "kpi_revenue_lag": revenue_lag(days),
+        "kpi_running_revenue": running_revenue(days),
+        "kpi_customer_ntile": customer_ntile(customers),
+        "kpi_avg_order_value": avg_order_value(days),
+        "kpi_orders_per_customer": orders_per_customer(customers),
+        "kpi_peak_hour": peak_hour(fact),
+        "kpi_top_products": top_products(fact),
+        "kpi_revenue_by_week": revenue_by_week(days),
+        "kpi_quantity_by_category": quantity_by_category(categories),
+    }

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-Tables = Mapping[str, DataFrame]
-
 # The columns whose null rate is reported.
 NULL_CHECKED = ["order_id", "customer_id", "product_id", "order_ts", "amount"]
 
@@ -36,11 +34,14 @@ def referential_integrity(fact: DataFrame, dim_customer: DataFrame, dim_product:
     return both.agg(*[F.max(c).alias(c) for c in ("missing_customer_fk", "missing_product_fk")])
 
 
-VALIDATIONS: dict[str, Callable[[Tables], DataFrame]] = {
-    "validation_duplicates_before": lambda t: duplicate_rows(t["bronze_orders"], "duplicate_rows_before"),
-    "validation_duplicates_after": lambda t: duplicate_rows(t["silver_orders"], "duplicate_rows_after"),
-    "validation_null_rates_silver": lambda t: null_rates(t["silver_orders"]),
-    "validation_referential_integrity": lambda t: referential_integrity(
-        t["fact_orders"], t["dim_customer"], t["dim_product"]
-    ),
-}
+def validation_suite(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The four checks over the stored layers, by the name each result is stored under."""
+    bronze, silver, fact = tables["bronze_orders"], tables["silver_orders"], tables["fact_orders"]
+    return {
+        "validation_duplicates_before": duplicate_rows(bronze, "duplicate_rows_before"),
+        "validation_duplicates_after": duplicate_rows(silver, "duplicate_rows_after"),
+        "validation_null_rates_silver": null_rates(silver),
+        "validation_referential_integrity": referential_integrity(
+            fact, tables["dim_customer"], tables["dim_product"]
+        ),
+    }

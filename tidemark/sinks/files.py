@@ -7,6 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# No day of so small a table is too large for one task.
+SMALL_TABLE_ROWS = 4_000_000
+
 
 def write_bronze(df: DataFrame, root: str, ingested_at: datetime, run_id: str) -> str:
     """Add a run's raw rows under its day; only a repeat of the same run replaces them."""
@@ -31,11 +34,15 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_by_day(df: DataFrame, path: str, day: str, order_by: str) -> None:
+def write_by_day(df: DataFrame, path: str, day: str, order_by: str, rows: int | None = None) -> None:
     """One folder per day, each file in order.
 
-    The rebalance hint gathers a day's rows so that it has few files, and lets
-    AQE split a day that is large into several tasks.
+    A day's rows are gathered so that it has few files. The rebalance hint lets
+    AQE split a day that is large into several tasks; it also packs small days
+    into few tasks, so a table known to be small is spread by plain hashing.
     """
-    gathered = df.hint("rebalance", F.col(day)).sortWithinPartitions(day, order_by)
-    gathered.write.mode("overwrite").partitionBy(day).parquet(path)
+    if rows is not None and rows <= SMALL_TABLE_ROWS:
+        gathered = df.repartition(F.col(day))
+    else:
+        gathered = df.hint("rebalance", F.col(day))
+    gathered.sortWithinPartitions(day, order_by).write.mode("overwrite").partitionBy(day).parquet(path)

@@ -10,6 +10,7 @@ at a time is assumed, as in any overwrite.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -37,11 +38,15 @@ _COMMITS = T.StructType(
 
 @dataclass(frozen=True)
 class State:
-    """The current day folders of a table: one entry per day, however many rows it has."""
+    """The current folders of a table: one entry per day, however many rows it has.
+
+    whole names the versions all of whose days are current.
+    """
 
     seq: int
     version: str | None
     versions: dict[date, str]
+    whole: set[str]
     rows: int
     high_water: datetime | None
     schema: T.StructType | None
@@ -60,15 +65,18 @@ class Versions:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return State(0, None, {}, 0, None, None)
+            return State(0, None, {}, set(), 0, None, None)
         newest = commits.groupBy("day").agg(F.max_by(F.struct(*_COMMITS.fieldNames()), "seq").alias("c")).select("c.*")
         rows = newest.collect()  # one per day, and one without
         last = max(rows, key=lambda r: r.seq, default=None)
         live = [r for r in rows if r.live]
+        current = Counter(r.version for r in live)
+        wrote = commits.where(F.col("live") & F.col("version").isin(list(current))).groupBy("version").count().collect()
         return State(
             seq=last.seq if last else 0,
             version=last.version if last else None,
             versions={r.day: r.version for r in live},
+            whole={r.version for r in wrote if r["count"] == current[r.version]},
             rows=sum(r.rows for r in live),
             high_water=max((r.high_water for r in live if r.high_water is not None), default=None),
             schema=T.StructType.fromJson(json.loads(last.columns)) if last else None,
@@ -82,15 +90,23 @@ class Versions:
         if not state.versions:
             return self.spark.createDataFrame([], state.schema)
         data = f"{self.root}/data"
-        folders = [f"{data}/version={v}/{DAY}={d}" for d, v in sorted(state.versions.items())]
+        folders = [f"{data}/version={v}" for v in sorted(state.whole)]
+        folders += [
+            f"{data}/version={v}/{DAY}={d}" for d, v in sorted(state.versions.items()) if v not in state.whole
+        ]
         reader = self.spark.read.option("basePath", data).schema(state.schema)
         return reader.parquet(*folders).select(*state.schema.fieldNames())
 
-    def publish(self, df: DataFrame, version: str, days: list[date] | None = None) -> State:
-        """Replace the given days (all, when none are given) with the rows of df, which has no others."""
+    def publish(
+        self, df: DataFrame, version: str, days: list[date] | None = None, at_most: int | None = None
+    ) -> None:
+        """Replace the given days (all, when none are given) with the rows of df, which has no others.
+
+        at_most bounds the rows of df where the caller knows a bound.
+        """
         before = self.state()
         path = f"{self.root}/data/version={version}"
-        write_by_day(df, path, DAY, self.order_by)
+        write_by_day(df, path, DAY, self.order_by, at_most)
         written = self.spark.read.schema(df.schema).parquet(path)
         newest = F.max(self.high_water_column) if self.high_water_column else F.lit(None).cast("timestamp_ntz")
         per_day = written.groupBy(DAY).agg(F.count("*").alias("rows"), newest.alias("high_water")).collect()
@@ -102,4 +118,3 @@ class Versions:
         emptied = set(before.versions if days is None else days) - {r[DAY] for r in per_day}
         commit += [(seq, version, d, False, 0, None, columns) for d in sorted(emptied)]
         self.spark.createDataFrame(commit, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-        return self.state()
