@@ -172,13 +172,9 @@ def _profile_sql(c: str, dtype: str, kind: str) -> str:
 PROFILE_SQL = " UNION ALL ".join(_profile_sql(*line) for line in PROFILED)
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(views.silver(spark, sf_dir), "silver")
-
-
 @check("profile_columns", orders(PROFILE_SQL, SILVER))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.profile(_silver(spark, sf_dir))
+    return profile.profile(views.stored_silver(spark, sf_dir))
 
 
 @check(
@@ -186,7 +182,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders(f'SELECT "column", null_rate, distinct_count, outlier_count FROM ({PROFILE_SQL})', SILVER),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.summary(profile.profile(_silver(spark, sf_dir)))
+    return profile.summary(profile.profile(views.stored_silver(spark, sf_dir)))
 
 
 @check(
@@ -219,7 +215,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("profile_approximate")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.profile(_silver(spark, sf_dir), exact=False, skip_mode=["order_id"])
+    return profile.profile(views.stored_silver(spark, sf_dir), exact=False, skip_mode=["order_id"])
 
 
 @check(

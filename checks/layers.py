@@ -17,7 +17,7 @@ from tidemark.operators import star
 from tidemark.operators.adapt import CANONICAL_COLUMNS, adapt_taxi
 from tidemark.operators.bronze import stamp
 from tidemark.operators.star_join import enrich
-from tidemark.session import materialize, pin_utc, scratch_path
+from tidemark.session import pin_utc, scratch_path
 from tidemark.sources.raw import read_raw
 
 SOURCE_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
@@ -108,7 +108,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("fact_orders", orders(f"SELECT {', '.join(star.FACT_COLUMNS)} FROM fact"))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = views.silver(spark, sf_dir)
+    silver = views.stored_silver(spark, sf_dir)
     return star.fact_orders(silver, star.dim_category(silver))
 
 
@@ -157,7 +157,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = materialize(views.trip_silver(spark, sf_dir), "silver")
+    silver = views.stored_trip_silver(spark, sf_dir)
     joined = enrich(star.measures(silver).drop("category"), star.dim_product(silver), star.dim_customer(silver))
     return joined.groupBy("category").agg(
         F.count("*").alias("joined_rows"),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.adapt import adapt_taxi
 from tidemark.operators.silver import build_silver
-from tidemark.operators.star import fact_orders, measures
-from tidemark.session import pin_utc
+from tidemark.operators.star import measures
+from tidemark.session import materialize, pin_utc
+from tidemark.sources.raw import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one order per line item, with null customers, null and negative amounts."""
     pin_utc(spark)
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     key = F.col("l_orderkey")
     return (
@@ -45,6 +46,11 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_silver(raw_orders(spark, sf_dir))
 
 
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as the job stores it, for what reads it more than once."""
+    return materialize(silver(spark, sf_dir), "silver")
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact's measures with the category itself, for what needs no category key."""
     return measures(silver(spark, sf_dir))
@@ -72,7 +78,7 @@ def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F5b: line items in the shape of taxi trips; a route has several vendors."""
     pin_utc(spark)
-    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    lines, orders = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
     key = F.col("l_orderkey")
     return lines.join(orders, key == F.col("o_orderkey")).select(
         (F.col("o_custkey") % 3 + 1).alias("VendorID"),
@@ -86,9 +92,5 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trip_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_silver(adapt_taxi(trips(spark, sf_dir)))
-
-
-def trip_fact(spark: SparkSession, sf_dir: str, categories: DataFrame) -> DataFrame:
-    return fact_orders(trip_silver(spark, sf_dir), categories)
+def stored_trip_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(build_silver(adapt_taxi(trips(spark, sf_dir))), "silver")

@@ -26,7 +26,7 @@ from tidemark.session import materialize, pin_utc
 from tidemark.sinks.files import write_bronze, write_csv, write_parquet, write_quarantine
 from tidemark.sinks.versions import State, Versions
 from tidemark.sources.layers import register_views
-from tidemark.sources.raw import read_raw
+from tidemark.sources.raw import read_raw, spread
 
 # As large as the fact, so stored as Parquet and not as CSV.
 FACT_SIZED = {"kpi_order_rank_per_customer"}
@@ -67,7 +67,8 @@ def run(
     ingested_at = datetime.now(timezone.utc)
     run_id = f"{ingested_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
-    canonical, kind = adapt_to_canonical(read_raw(spark, input_path, json_lines=json_lines), input_path)
+    source = spread(read_raw(spark, input_path, json_lines=json_lines))
+    canonical, kind = adapt_to_canonical(source, input_path)
     raw = stamp(canonical, ingested_at)
     require_columns(raw, CANONICAL_COLUMNS)
     path = write_bronze(raw, f"{output_root}/bronze", ingested_at, run_id)

@@ -1,4 +1,4 @@
 from tidemark.sources.layers import register_views
-from tidemark.sources.raw import preview, read_raw
+from tidemark.sources.raw import preview, read_raw, spread
 
-__all__ = ["preview", "read_raw", "register_views"]
+__all__ = ["preview", "read_raw", "register_views", "spread"]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 PREVIEW_ROWS = 2000
+SMALL_SPLITS = 32
 
 
 def read_raw(
@@ -35,6 +36,17 @@ def read_raw(
     raise ValueError(f"Unsupported input type: {suffix}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out to all cores when its files have too few splits.
+
+    One file of a few row groups would otherwise keep one core per row group
+    busy. Inputs of more than SMALL_SPLITS splits are left as they are, so
+    nothing large is ever shuffled here.
+    """
+    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if splits < min(cores, SMALL_SPLITS) else df
+
+
 def preview(df: DataFrame, order_by: list[str] | None = None, rows: int = PREVIEW_ROWS) -> DataFrame:
     """The first rows of a result for display, in a fixed order when one is named."""
     return (df.orderBy(*order_by) if order_by else df).limit(rows)
