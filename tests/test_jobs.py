@@ -55,11 +55,11 @@ def test_load_without_news_or_without_silver(spark):
     assert amounts(load(existing, frame(spark, order("z", 1, 1)), full_refresh=True)) == [("z", 1.0)]
 
 
-@pytest.mark.parametrize("broadcast_ids", [0, 100])
-def test_both_ways_of_merging(spark, broadcast_ids):
+@pytest.mark.parametrize("broadcast_bytes", [0, 10_000])
+def test_both_ways_of_merging(spark, broadcast_bytes):
     existing = frame(spark, *FIRST).withColumn("old", F.lit("kept"))
     incoming = frame(spark, order("a", 2, 9, 2.0), order("d", 3, 6, 5.0)).withColumn("new", F.lit(1))
-    merged = merge_latest(existing, incoming, broadcast_ids)
+    merged = merge_latest(existing, incoming, broadcast_bytes)
     assert sorted((r.order_id, r.amount, r.old, r.new) for r in merged.collect()) == [
         ("a", 2.0, None, 1),
         ("b", 1.0, "kept", None),
@@ -67,7 +67,7 @@ def test_both_ways_of_merging(spark, broadcast_ids):
         ("d", 5.0, None, 1),
     ]
     # a leaves the first for the second
-    days = changed_days(existing, incoming, broadcast_ids)
+    days = changed_days(existing, incoming, broadcast_bytes)
     assert sorted(r.order_date.day for r in days.collect()) == [1, 2, 3]
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.silver import KEY, VERSION, latest_per_order
 from tidemark.session import materialize
 
-# Order ids to broadcast at most: under 100 MB of them.
-BROADCAST_IDS = 1_000_000
+# Ids of a batch are broadcast up to this size, reckoned with the overhead of a hash table entry.
+BROADCAST_BYTES = 64 << 20
+ENTRY_BYTES = 64
 
 
 def high_water_mark(silver: DataFrame) -> datetime | None:
@@ -26,26 +27,32 @@ def newer_than(valid: DataFrame, mark: datetime | None, lateness: timedelta | No
     return valid.where(F.col(VERSION) > F.lit(bound).cast("timestamp_ntz"))
 
 
-def merge_latest(existing: DataFrame, incoming: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def _small_ids(incoming: DataFrame, broadcast_bytes: int) -> DataFrame | None:
+    """The batch's ids for a broadcast; None when they are too many for one."""
+    ids = incoming.select(KEY)
+    size = ids.agg(F.sum(F.octet_length(KEY) + F.lit(ENTRY_BYTES).cast("bigint"))).first()[0]
+    return F.broadcast(ids) if (size or 0) <= broadcast_bytes else None
+
+
+def merge_latest(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Latest row per order of both frames, each of which holds an order once; incoming is stored.
 
-    Columns that one side lacks are null there. A batch of few orders is
-    broadcast by its ids, and the existing rows of other orders pass without a
-    shuffle; a larger one is merged by a shuffle of both sides.
+    Columns that one side lacks are null there. The ids of a small batch are
+    broadcast, and the existing rows of other orders pass without a shuffle; a
+    larger batch is merged by a shuffle of both sides.
     """
-    if incoming.count() > broadcast_ids:
+    ids = _small_ids(incoming, broadcast_bytes)
+    if ids is None:
         return latest_per_order(existing.unionByName(incoming, allowMissingColumns=True))
-    ids = F.broadcast(incoming.select(KEY))
     kept = existing.join(ids, KEY, "left_anti")
     touched = existing.join(ids, KEY, "left_semi").unionByName(incoming, allowMissingColumns=True)
     return kept.unionByName(latest_per_order(touched), allowMissingColumns=True)
 
 
-def changed_days(existing: DataFrame, incoming: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def changed_days(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Days that a merge changes: those of the new rows, and those an updated order leaves."""
-    ids = incoming.select(KEY)
-    if incoming.count() <= broadcast_ids:
-        ids = F.broadcast(ids)
+    ids = _small_ids(incoming, broadcast_bytes)
+    ids = incoming.select(KEY) if ids is None else ids
     left = existing.select(KEY, "order_date").join(ids, KEY, "left_semi").select("order_date")
     return left.union(incoming.select("order_date")).distinct()
 

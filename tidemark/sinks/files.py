@@ -38,11 +38,12 @@ def write_by_day(df: DataFrame, path: str, day: str, order_by: str, rows: int |
     """One folder per day, each file in order.
 
     A day's rows are gathered so that it has few files. The rebalance hint lets
-    AQE split a day that is large into several tasks; it also packs small days
-    into few tasks, so a table known to be small is spread by plain hashing.
+    AQE split a day that is large into several tasks. By size alone it would
+    also pack many small days into one task, which then opens their files one
+    by one, so the days of a table known to be small are dealt out to all cores.
     """
     if rows is not None and rows <= SMALL_TABLE_ROWS:
-        gathered = df.repartition(F.col(day))
+        gathered = df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.col(day))
     else:
         gathered = df.hint("rebalance", F.col(day))
     gathered.sortWithinPartitions(day, order_by).write.mode("overwrite").partitionBy(day).parquet(path)
