@@ -16,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one order per line item, with null customers, null and negative amounts."""
     pin_utc(spark)
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS))
     orders, part = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     key = F.col("l_orderkey")
     return (
@@ -78,7 +81,8 @@ def event_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F5b: line items in the shape of taxi trips; a route has several vendors."""
     pin_utc(spark)
-    lines, orders = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "orders")
+    lines = spread(table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS).drop("l_quantity"))
+    orders = table(spark, sf_dir, "orders")
     key = F.col("l_orderkey")
     return lines.join(orders, key == F.col("o_orderkey")).select(
         (F.col("o_custkey") % 3 + 1).alias("VendorID"),

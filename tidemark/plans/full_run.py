@@ -67,9 +67,8 @@ def run(
     ingested_at = datetime.now(timezone.utc)
     run_id = f"{ingested_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
-    source = spread(read_raw(spark, input_path, json_lines=json_lines))
-    canonical, kind = adapt_to_canonical(source, input_path)
-    raw = stamp(canonical, ingested_at)
+    canonical, kind = adapt_to_canonical(read_raw(spark, input_path, json_lines=json_lines), input_path)
+    raw = spread(stamp(canonical, ingested_at))
     require_columns(raw, CANONICAL_COLUMNS)
     path = write_bronze(raw, f"{output_root}/bronze", ingested_at, run_id)
     bronze = spark.read.schema(raw.schema).parquet(path)

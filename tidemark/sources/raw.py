@@ -41,10 +41,13 @@ def spread(df: DataFrame) -> DataFrame:
 
     One file of a few row groups would otherwise keep one core per row group
     busy. Inputs of more than SMALL_SPLITS splits are left as they are, so
-    nothing large is ever shuffled here.
+    nothing large is ever shuffled here. Rows go by the hash of their values,
+    which a repeated task finds again.
     """
     splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if splits < min(cores, SMALL_SPLITS) else df
+    if splits >= min(cores, SMALL_SPLITS):
+        return df
+    return df.repartition(cores, *[f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)])
 
 
 def preview(df: DataFrame, order_by: list[str] | None = None, rows: int = PREVIEW_ROWS) -> DataFrame:
