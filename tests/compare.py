@@ -27,14 +27,29 @@ def _plain(value):
     return value
 
 
+# DuckDB's names of Spark's types
+TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def differences(spark_df, con, sql: str) -> list[str]:
-    """What differs in columns, rows or values; exact for every type."""
+    """What differs in columns, types, rows or values; exact for every type."""
     rows = [r.asDict() for r in spark_df.collect()]
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     oracle = [dict(zip(names, r)) for r in result.fetchall()]
     if sorted(spark_df.columns) != sorted(names):
         return [f"columns {sorted(spark_df.columns)} / {sorted(names)}"]
+    ours = dict(spark_df.dtypes)
+    theirs = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in result.description}
+    if ours != theirs:
+        return [f"types {[(c, ours[c], theirs[c]) for c in ours if ours[c] != theirs[c]]}"]
     if len(rows) != len(oracle):
         return [f"rows {len(rows)} / {len(oracle)}"]
     key = sorted(names)

@@ -63,10 +63,11 @@ def latest_per_order(df: DataFrame) -> DataFrame:
     Rows equal in updated_at are ordered by their remaining columns, greatest
     first, so the same row wins in any partitioning. Spark cuts to one row per
     order in each map task before the shuffle (WindowGroupLimit), so an order
-    with very many versions does not load one reducer.
+    with very many versions does not load one reducer. The hash leads the window's
+    sort because ids share long prefixes and are slow to compare.
     """
     newest_first = [F.col(c).desc_nulls_last() for c in [VERSION, *_tie_breakers(df)]]
-    place = F.row_number().over(Window.partitionBy(KEY).orderBy(*newest_first))
+    place = F.row_number().over(Window.partitionBy(F.xxhash64(KEY), KEY).orderBy(*newest_first))
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.catalog import check
-from checks.oracle import REVENUE, SILVER, events, orders, trips
+from tidemark_checks import views
+from tidemark_checks.catalog import check
+from tidemark_checks.oracle import REVENUE, SILVER, events, orders, trips
 from tidemark.operators import star
 from tidemark.plans import cohort, kpis, validation
 from tidemark.session import materialize

@@ -7,10 +7,10 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.catalog import check
-from checks.layers import CANONICAL_SQL, INGESTED_AT
-from checks.oracle import LATEST, NORMAL, REVENUE, SILVER, VALID, events, orders
+from tidemark_checks import views
+from tidemark_checks.catalog import check
+from tidemark_checks.layers import CANONICAL_SQL, INGESTED_AT
+from tidemark_checks.oracle import LATEST, NORMAL, REVENUE, SILVER, VALID, events, orders
 from tidemark.operators import profile
 from tidemark.operators.bronze import stamp
 from tidemark.operators.incremental import load

@@ -7,9 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.catalog import check
-from checks.oracle import NORMAL, SILVER, VALID, events, money, orders, trips
+from tidemark_checks import views
+from tidemark_checks.catalog import check
+from tidemark_checks.oracle import NORMAL, SILVER, VALID, events, money, orders, trips
 from tidemark.functions.keys import composite_key
 from tidemark.functions.money import exact_sum
 from tidemark.operators import silver as clean
