@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.data import CANONICAL_SCHEMA, ORDERS_CSV, write_text
 from tidemark import session
 from tidemark.operators import profile
-from tidemark.operators.incremental import changed_days, high_water_mark, load, merge_latest
+from tidemark.operators.incremental import changed_days, high_water_mark, load, merge_latest, newer_than
 from tidemark.operators.silver import latest_per_order
 from tidemark.plans.full_run import run
 from tidemark.sinks.extracts import publish_extracts
@@ -47,6 +48,19 @@ def test_load_takes_newer_rows_only(spark):
     assert amounts(load(late, batch, lateness=timedelta(days=30))) == amounts(late)
 
 
+def test_the_mark_ignores_the_host_zone(spark, monkeypatch):
+    existing, batch = frame(spark, *FIRST), frame(spark, order("e", 1, 5), order("f", 1, 6))
+    try:
+        for zone in ("Asia/Kolkata", "America/New_York"):
+            monkeypatch.setenv("TZ", zone)
+            time.tzset()
+            assert high_water_mark(existing) == datetime(2026, 2, 5)
+            assert amounts(newer_than(batch, high_water_mark(existing))) == [("f", 1.0)]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_load_without_news_or_without_silver(spark):
     existing = frame(spark, *FIRST)
     assert load(existing, frame(spark, order("z", 1, 5))) is existing
@@ -107,10 +121,10 @@ def test_bronze_runs_do_not_replace_each_other(spark, folder):
     assert spark.read.parquet(folder).groupBy("run_id").count().orderBy("run_id").collect() == [("r1", 3), ("r2", 3)]
 
 
-@pytest.mark.parametrize("rows", [None, 4])
-def test_days_are_written_in_order(spark, folder, rows):
+@pytest.mark.parametrize("how", [{}, {"rows": 4}, {"in_place": True}])
+def test_days_are_written_in_order(spark, folder, how):
     df = frame(spark, order("b", 2, 1), order("a", 1, 1), order("c", 1, 2), order("d", 1, 3))
-    write_by_day(df, f"{folder}/t", "order_date", "order_ts", rows)
+    write_by_day(df, f"{folder}/t", "order_date", "order_ts", **how)
     assert {p.name for p in Path(f"{folder}/t").glob("order_date=*")} == {"order_date=2026-01-01", "order_date=2026-01-02"}
     assert amounts(spark.read.parquet(f"{folder}/t")) == amounts(df)
 

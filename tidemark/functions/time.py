@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,11 @@ def as_naive_timestamp(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast("timestamp_ntz")
 
 
+def naive(moment: datetime) -> Column:
+    """A zone-less literal; lit(datetime) would go through the host's time zone."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def week_of(ts: Column) -> Column:
     """The Monday of the week."""
     return F.trunc(F.to_date(ts), "week")

@@ -7,13 +7,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.time import naive
 from tidemark.operators.silver import KEY, VERSION, latest_per_order
+from tidemark.operators.sizes import BROADCAST_BYTES, fits_broadcast
 from tidemark.session import materialize
 
-# Ids of a batch are broadcast up to this size, reckoned with the overhead of a hash table entry.
-BROADCAST_BYTES = 64 << 20
-ENTRY_BYTES = 64
-
 
 def high_water_mark(silver: DataFrame) -> datetime | None:
     return silver.agg(F.max(VERSION)).first()[0]
@@ -24,14 +22,7 @@ def newer_than(valid: DataFrame, mark: datetime | None, lateness: timedelta | No
     if mark is None:
         return valid
     bound = mark - lateness if lateness else mark
-    return valid.where(F.col(VERSION) > F.lit(bound).cast("timestamp_ntz"))
-
-
-def _small_ids(incoming: DataFrame, broadcast_bytes: int) -> DataFrame | None:
-    """The batch's ids for a broadcast; None when they are too many for one."""
-    ids = incoming.select(KEY)
-    size = ids.agg(F.sum(F.octet_length(KEY) + F.lit(ENTRY_BYTES).cast("bigint"))).first()[0]
-    return F.broadcast(ids) if (size or 0) <= broadcast_bytes else None
+    return valid.where(F.col(VERSION) > naive(bound))
 
 
 def merge_latest(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -41,9 +32,9 @@ def merge_latest(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int
     broadcast, and the existing rows of other orders pass without a shuffle; a
     larger batch is merged by a shuffle of both sides.
     """
-    ids = _small_ids(incoming, broadcast_bytes)
-    if ids is None:
+    if not fits_broadcast(incoming, KEY, broadcast_bytes):
         return latest_per_order(existing.unionByName(incoming, allowMissingColumns=True))
+    ids = F.broadcast(incoming.select(KEY))
     kept = existing.join(ids, KEY, "left_anti")
     touched = existing.join(ids, KEY, "left_semi").unionByName(incoming, allowMissingColumns=True)
     return kept.unionByName(latest_per_order(touched), allowMissingColumns=True)
@@ -51,8 +42,9 @@ def merge_latest(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int
 
 def changed_days(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Days that a merge changes: those of the new rows, and those an updated order leaves."""
-    ids = _small_ids(incoming, broadcast_bytes)
-    ids = incoming.select(KEY) if ids is None else ids
+    ids = incoming.select(KEY)
+    if fits_broadcast(incoming, KEY, broadcast_bytes):
+        ids = F.broadcast(ids)
     left = existing.select(KEY, "order_date").join(ids, KEY, "left_semi").select("order_date")
     return left.union(incoming.select("order_date")).distinct()
 
@@ -67,6 +59,5 @@ def load(
     if existing is None or full_refresh:
         return latest_per_order(valid)
     new = newer_than(valid, high_water_mark(existing), lateness)
-    if new.isEmpty():
-        return existing
-    return merge_latest(existing, materialize(latest_per_order(new), "incoming"))
+    incoming = materialize(latest_per_order(new), "incoming")
+    return existing if incoming.isEmpty() else merge_latest(existing, incoming)

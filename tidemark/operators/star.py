@@ -50,9 +50,10 @@ def dim_customer(silver: DataFrame) -> DataFrame:
     return silver.select("customer_id").distinct()
 
 
-def dim_vendor(silver: DataFrame) -> DataFrame:
+def dim_vendor(customers: DataFrame) -> DataFrame:
+    """From dim_customer: the last part of the id is the vendor's code."""
     code = F.element_at(F.split("customer_id", "_"), -1)
-    return dim_customer(silver).select(F.col("customer_id").alias("vendor_id"), code.alias("vendor_code"))
+    return customers.select(F.col("customer_id").alias("vendor_id"), code.alias("vendor_code"))
 
 
 def dim_product(silver: DataFrame) -> DataFrame:
@@ -80,9 +81,10 @@ def dim_category(silver: DataFrame, key_style: str = "dense", rows_per_task: int
 
 def dim_date(silver: DataFrame) -> DataFrame:
     day = F.col("order_date")
+    # stored Silver has the day in its folders, so none of its files is decoded
+    days = silver.select(day) if "order_date" in silver.columns else silver.select(F.to_date("order_ts").alias("order_date"))
     return (
-        silver.select(F.to_date("order_ts").alias("order_date"))
-        .distinct()
+        days.distinct()
         .select(
             day,
             F.year(day).alias("year"),
@@ -104,10 +106,10 @@ def fact_orders(silver: DataFrame, categories: DataFrame, whole_minutes: bool =
 
 
 def build_star(silver: DataFrame, key_style: str = "dense", whole_minutes: bool = False) -> dict[str, DataFrame]:
-    categories = dim_category(silver, key_style)
+    categories, customers = dim_category(silver, key_style), dim_customer(silver)
     return {
-        "dim_customer": dim_customer(silver),
-        "dim_vendor": dim_vendor(silver),
+        "dim_customer": customers,
+        "dim_vendor": dim_vendor(customers),
         "dim_product": dim_product(silver),
         "dim_category": categories,
         "dim_date": dim_date(silver),

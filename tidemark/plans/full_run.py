@@ -19,6 +19,7 @@ from tidemark.operators.expectations import require_columns
 from tidemark.operators.incremental import changed_days, merge_latest, newer_than
 from tidemark.operators.profile import profile, summary
 from tidemark.operators.silver import latest_per_order, normalize, quarantined_rows, valid_rows
+from tidemark.operators.sizes import fits_broadcast
 from tidemark.plans.cohort import cohort_retention
 from tidemark.plans.kpis import kpi_suite
 from tidemark.plans.validation import validation_suite
@@ -133,18 +134,25 @@ def _gold(
     built_from = fact.state().version
     star_tables = star.build_star(orders)
     paths = {name: f"{root}/{name}" for name in star_tables if name != "fact_orders"}
+    stored = {name: spark.read.schema(star_tables[name].schema) for name in paths}
     if built_from != silver_now.version:
+        categories = star_tables["dim_category"]
         in_line = days is not None and built_from is not None and built_from == silver_was
         if in_line:
-            categories = star_tables["dim_category"]
-            in_line = _same_rows(categories, spark.read.schema(categories.schema).parquet(paths["dim_category"]))
-        _at_once([partial(write_parquet, star_tables[name], path) for name, path in paths.items()])
-        rows, part = star_tables["fact_orders"], days if in_line else None
-        if part is not None:
-            rows = rows.where(F.col("order_date").isin(part))
-        fact.publish(rows, silver_now.version, part, at_most=silver_now.rows)
-    stored = {name: spark.read.schema(star_tables[name].schema).parquet(path) for name, path in paths.items()}
-    return stored | {"fact_orders": fact.read()}
+            in_line = _same_rows(categories, stored["dim_category"].parquet(paths["dim_category"]))
+        first = [name for name in paths if name != "dim_vendor"]
+        _at_once([partial(write_parquet, star_tables[name], paths[name]) for name in first])
+        customers = stored["dim_customer"].parquet(paths["dim_customer"])
+        write_parquet(star.dim_vendor(customers), paths["dim_vendor"])
+
+        categories = stored["dim_category"].parquet(paths["dim_category"])
+        part = days if in_line else None
+        rows = orders if part is None else orders.where(F.col("order_date").isin(part))
+        # with the categories broadcast the fact keeps the day folders of Silver and needs no shuffle
+        small = fits_broadcast(categories, "category")
+        rows = star.fact_orders(rows, F.broadcast(categories) if small else categories)
+        fact.publish(rows, silver_now.version, part, at_most=silver_now.rows, in_place=small)
+    return {name: stored[name].parquet(path) for name, path in paths.items()} | {"fact_orders": fact.read()}
 
 
 def _report(tables: dict[str, DataFrame], root: str, exact_profile: bool) -> None:

@@ -34,15 +34,20 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_by_day(df: DataFrame, path: str, day: str, order_by: str, rows: int | None = None) -> None:
+def write_by_day(
+    df: DataFrame, path: str, day: str, order_by: str, rows: int | None = None, in_place: bool = False
+) -> None:
     """One folder per day, each file in order.
 
     A day's rows are gathered so that it has few files. The rebalance hint lets
     AQE split a day that is large into several tasks. By size alone it would
     also pack many small days into one task, which then opens their files one
     by one, so the days of a table known to be small are dealt out to all cores.
+    in_place says that the rows come by day already, so nothing is shuffled.
     """
-    if rows is not None and rows <= SMALL_TABLE_ROWS:
+    if in_place:
+        gathered = df
+    elif rows is not None and rows <= SMALL_TABLE_ROWS:
         gathered = df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.col(day))
     else:
         gathered = df.hint("rebalance", F.col(day))

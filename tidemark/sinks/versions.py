@@ -98,15 +98,21 @@ class Versions:
         return reader.parquet(*folders).select(*state.schema.fieldNames())
 
     def publish(
-        self, df: DataFrame, version: str, days: list[date] | None = None, at_most: int | None = None
+        self,
+        df: DataFrame,
+        version: str,
+        days: list[date] | None = None,
+        at_most: int | None = None,
+        in_place: bool = False,
     ) -> None:
         """Replace the given days (all, when none are given) with the rows of df, which has no others.
 
-        at_most bounds the rows of df where the caller knows a bound.
+        at_most bounds the rows of df where the caller knows a bound; in_place
+        says that they are read from a table by day and not shuffled since.
         """
         before = self.state()
         path = f"{self.root}/data/version={version}"
-        write_by_day(df, path, DAY, self.order_by, at_most)
+        write_by_day(df, path, DAY, self.order_by, at_most, in_place)
         written = self.spark.read.schema(df.schema).parquet(path)
         newest = F.max(self.high_water_column) if self.high_water_column else F.lit(None).cast("timestamp_ntz")
         per_day = written.groupBy(DAY).agg(F.count("*").alias("rows"), newest.alias("high_water")).collect()

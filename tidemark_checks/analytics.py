@@ -104,6 +104,35 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.order_rank_per_customer(materialize(views.fact(spark, sf_dir).select(*kpis.RANKED), "orders"))
 
 
+# The next two have their tasks hold a sixth of the rows, so that the groups are split.
+
+
+@check(
+    "kpi_order_rank_few_customers",
+    trips(
+        """SELECT customer_id, order_ts, gross_revenue,
+             row_number() OVER (PARTITION BY customer_id ORDER BY gross_revenue DESC, order_id) AS rn FROM fact"""
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # three customers, each with a third of the orders
+    fact = materialize(star.measures(views.stored_trip_silver(spark, sf_dir)).select(*kpis.RANKED), "orders")
+    return kpis.order_rank_per_customer(fact, rows_per_task=max(1, fact.count() // 6))
+
+
+@check(
+    "kpi_customer_ntile_split",
+    orders(
+        f"""SELECT customer_id, total_revenue,
+              CAST(ntile(4) OVER (ORDER BY total_revenue, customer_id) AS BIGINT) AS revenue_quartile
+            FROM (SELECT customer_id, {REVENUE} AS total_revenue FROM fact GROUP BY 1)"""
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = materialize(kpis.by_customer(views.fact(spark, sf_dir)), "customers")
+    return kpis.customer_ntile(customers, rows_per_task=max(1, customers.count() // 6))
+
+
 @check(
     "kpi_order_rank_top3",
     orders(

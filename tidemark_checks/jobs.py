@@ -13,7 +13,7 @@ from tidemark_checks.layers import CANONICAL_SQL, INGESTED_AT
 from tidemark_checks.oracle import LATEST, NORMAL, REVENUE, SILVER, VALID, events, orders
 from tidemark.operators import profile
 from tidemark.operators.bronze import stamp
-from tidemark.operators.incremental import load
+from tidemark.operators.incremental import load, newer_than
 from tidemark.operators.ranking import top_k
 from tidemark.operators.silver import latest_per_order, normalize, quarantined_rows, valid_rows
 from tidemark.plans import kpis, validation
@@ -124,7 +124,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = valid_rows(normalize(views.raw_events(spark, sf_dir))).withColumn("order_date", F.to_date("order_ts"))
     silver.publish(latest_per_order(valid.where("updated_at < TIMESTAMP_NTZ '2024-01-15'")), "first")
     was = silver.state()
-    merge_days(silver, was, valid.where(F.col("updated_at") > F.lit(was.high_water).cast("timestamp_ntz")), "second")
+    merge_days(silver, was, newer_than(valid, was.high_water), "second")
     return silver.read()
 
 

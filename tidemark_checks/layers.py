@@ -144,7 +144,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     events("SELECT customer_id AS vendor_id, split_part(customer_id, '_', -1) AS vendor_code FROM dim_customer"),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_vendor(clean.build_silver(views.raw_events(spark, sf_dir)))
+    return star.dim_vendor(star.dim_customer(clean.build_silver(views.raw_events(spark, sf_dir))))
 
 
 @check(
