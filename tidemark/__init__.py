@@ -1,4 +1,4 @@
-"""Batch lakehouse analytics on Spark.
+"""Batch analytics of orders on Spark.
 
 Orders are read, stamped (Bronze), cleaned and deduplicated (Silver), modelled
 as a star (Gold) and analysed. Every step takes and returns DataFrames, so
