@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import repetition
+from tidemark.llm import repetition, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -24,3 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op3_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_relative_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.parse(docs).select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
