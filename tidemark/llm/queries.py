@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import repetition, substring_dedup
+from tidemark.llm import jaccard_join, repetition, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -31,3 +31,9 @@ def op3_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_relative_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.parse(docs).select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op4_parity_sketch_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.similar_documents(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
