@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, repetition, substring_dedup
+from tidemark.llm import jaccard_join, mixing, repetition, substring_dedup, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -37,3 +37,19 @@ def op1_relative_lz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFra
 def op4_parity_sketch_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.similar_documents(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query
+def op6_systematic_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draw(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return drawn.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+ORACLE_SQL["op6_systematic_mixing"] = mixing.ORACLE_SQL
+
+
+@query
+def op8_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
