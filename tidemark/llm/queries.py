@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, mixing, repetition, substring_dedup, url_rules
+from tidemark.llm import jaccard_join, mixing, pu_quality, repetition, substring_dedup, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,3 +53,15 @@ ORACLE_SQL["op6_systematic_mixing"] = mixing.ORACLE_SQL
 @query
 def op8_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+@query
+def op9_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pu_quality.score(docs, pu_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
