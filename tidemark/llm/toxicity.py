@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A term is a lower-cased run of ASCII letters, digits and other bytes beyond
-0x7F, hashed to BUCKETS. Training reads a bounded sample of labelled documents outside
+0x7F, or its first bytes, hashed to BUCKETS. Training reads a bounded sample of labelled documents outside
 the held-out fold: terms whose document frequencies in the two classes differ
 most (a bounded number) become the machine's inputs, and a second-order
 factorization machine
@@ -34,6 +34,7 @@ from tidemark.llm.rows import column, packed, unpacked
 BUCKETS = 1 << 18
 INPUTS = 400
 FACTORS = 8
+PREFIXES = (4, 5)  # bytes
 FOLDS, HELD_OUT = 3, 1
 LIMIT = 0.7
 
@@ -69,8 +70,9 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def terms(data: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct (text, bucket) pairs of some texts."""
     words = W.Words(_plain[data[off[lo] : off[hi]]], off[lo : hi + 1] - off[lo])
-    pair = words.doc.astype(np.uint64) * np.uint64(BUCKETS) + (words.hashes() >> np.uint64(46)) % np.uint64(BUCKETS)
-    pair = np.unique(pair)
+    doc = words.doc.astype(np.uint64) * np.uint64(BUCKETS)
+    kinds = [words.hashes(), *[W.mix(words.hashes(k) + np.uint64(k)) for k in PREFIXES]]
+    pair = np.unique(np.concatenate([doc + (h >> np.uint64(46)) % np.uint64(BUCKETS) for h in kinds]))
     return (pair // np.uint64(BUCKETS)).astype(np.int64), (pair % np.uint64(BUCKETS)).astype(np.int64)
 
 
@@ -85,7 +87,7 @@ def choose(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, inputs: int =
     return np.sort(best[z[best] > 3])
 
 
-def fit(doc, bucket, label, steps: int = 400, rate: float = 0.05, decay: float = 1e-3, inputs: int = INPUTS) -> Machine | None:
+def fit(doc, bucket, label, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4, inputs: int = INPUTS) -> Machine | None:
     """The machine fitted to these documents; None without both classes."""
     label = np.asarray(label, float)
     n, positive = len(label), label.sum()

@@ -108,8 +108,8 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word."""
+    def hashes(self, prefix: int | None = None) -> np.ndarray:
+        """A 64-bit hash of each word, or of no more than its first bytes."""
         out = np.empty(len(self), np.uint64)
         at = 0
         while at < len(self):  # a bounded number of bytes at a time
@@ -118,7 +118,8 @@ class Words:
             part = self.data[base : self.end[to - 1]]
             start, size = self.start[at:to] - base, self.end[at:to] - self.start[at:to]
             place = np.arange(len(part)) - np.repeat(start, np.diff(np.append(start, len(part))))
-            gap = _space[part]
+            gap = _space[part] if prefix is None else _space[part] | (place >= prefix)
+            size = size if prefix is None else np.minimum(size, prefix)
             place[gap] = 0
             value = _BYTE[part] * powers(_BASES[0], int(place.max()) + 1)[place]
             value[gap] = 0
