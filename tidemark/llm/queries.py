@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, mixing, pu_quality, repetition, substring_dedup, toxicity, url_rules
+from tidemark.llm import (
+    embedding_forest,
+    jaccard_join,
+    mixing,
+    packing,
+    pu_quality,
+    repetition,
+    substring_dedup,
+    toxicity,
+    url_rules,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -65,3 +77,22 @@ def op9_positive_unlabelled_quality(spark: SparkSession, sf_dir: str) -> DataFra
 def op10_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_projection_tree_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).drop("text_key")
+
+
+@query
+def op2_loser_tree_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.archive_and_merge(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "place"
+    )
