@@ -47,11 +47,10 @@ def wanted(texts):
     return sets, brute.components(range(len(sets)), links)
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 12])
-def test_equals_brute_force(spark, monkeypatch, rounds):
+@pytest.mark.parametrize("rounds, block", [(0, 20), (2, 512)])
+def test_equals_brute_force(spark, monkeypatch, rounds, block):
     monkeypatch.setattr(J, "ROUNDS", rounds)
-    if rounds == 12:
-        monkeypatch.setattr(J, "PAIRS_PER_SET", 0)
+    monkeypatch.setattr(J, "BLOCK", block)
     texts = corpus()
     texts += [texts[20], texts[40]]
     rows = [(i, t, "n", 1, 2) for i, t in enumerate(texts)]

@@ -12,17 +12,18 @@ sets agree in at least e + 1 of them. Sizes are cut into geometric bands, each
 with its own number of parts; a set also visits the next band where a similar
 larger set could lie. Buckets are the parts' values, joined over the cluster.
 
-Parts with fewer than LIGHT shingles would make large buckets of unlike sets. As
+Parts with fewer than `light` shingles would make large buckets of unlike sets. As
 at most e of a set's parts may be so light, one of the agreeing parts is not, and
 light parts needn't be joined; sets with more light parts than e join on these as
 well, among themselves.
 
-A bucket of many near copies isn't expanded into pairs. In each round every set
-that is still apart from its bucket's leader is compared exactly with one leader,
-and links merge components; a bucket within one component is settled. When the
-pairs between different components that remain in buckets are few, or no round
-helps any more, all of them are compared. Pairs within a component need no
-comparison, so the components are exact.
+A bucket of many near copies isn't expanded into pairs. In each of a few rounds every
+set that is still apart from its bucket's leader is compared exactly with one leader,
+and links merge components; a bucket within one component is settled. In the
+buckets that are left, blocks of at most about BLOCK sets are compared within tasks
+by a finer parity sketch, of single bits, whose Hamming distance bounds the symmetric
+difference from below; only pairs of different components that pass are emitted and
+compared exactly. Pairs within a component need no comparison, so the components are exact.
 
 Defined cases: without a word (null or empty text) a document has no shingles and
 links with nothing; rows equal in text are one class; a null id joins its class but
@@ -47,9 +48,9 @@ from tidemark.session import materialize
 SHINGLE = 3
 PERCENT = 90
 BAND = 1.37
-LIGHT = 3
-ROUNDS = 12
-PAIRS_PER_SET = 4  # once so few pairs per set remain, all are compared
+ROUNDS = 2
+BLOCK = 512
+PARTS = 64  # a bound of parts for similarities below 0.9, where exactness would take a third of the shingles
 SKETCHES = "uid bigint, text_key bigint, id bigint, n int, one bigint, two bigint, keys array<bigint>"
 
 
@@ -70,9 +71,14 @@ def bands(largest: int) -> list[int]:
     return out
 
 
-def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray) -> np.ndarray:
-    """The buckets of a set: its own band's and, where need be, the next one's."""
-    n, out = len(shingles), []
+def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray, most: int | None = None) -> np.ndarray:
+    """The buckets of a set: its own band's and, where need be, the next one's.
+
+    Where more than `most` parts would be needed, the set joins on `most` of fewer,
+    larger ones. A part of linked sets then agrees with a chance of at least about
+    exp(-1.5), each for itself, so that 64 miss one link in ten million.
+    """
+    n, out, light_size = len(shingles), [], 3 if percent >= 90 else 2
     own = int(np.searchsorted(starts, n, "right")) - 1
     reach = n * 100 // percent
     for band in range(own, own + 2):
@@ -84,16 +90,22 @@ def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray) -> np.nd
             continue  # only equal sets can link
         spare = least_parts // 8
         parts = least_parts + spare
+        some = most is not None and parts > most
+        if some:
+            parts = max(most, int(least_parts / 1.5))
         part = ((shingles >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         size = np.bincount(part, minlength=parts)
         full = np.flatnonzero(size)
         value = np.zeros(parts, np.uint64)
         value[full] = np.bitwise_xor.reduceat(shingles[order], (np.cumsum(size) - size)[full])
-        light = size < LIGHT
+        light = size < light_size
         place = W.mix((np.uint64(band) << np.uint64(40)) + np.arange(parts, dtype=np.uint64) * np.uint64(2) + light)
         keys = W.mix(value ^ place)
-        out.append(keys if light.sum() > spare else keys[~light])
+        if some:
+            out.append(keys[:most][~light[:most]])
+        else:
+            out.append(keys if light.sum() > spare else keys[~light])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -118,7 +130,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _sketches(size: int, percent: int):
+def _sketches(size: int, percent: int, most: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.array(bands(1000))
         for batch in batches:
@@ -132,23 +144,97 @@ def _sketches(size: int, percent: int):
                     {k: batch.column(k).slice(lo, hi - lo) for k in ("uid", "text_key", "id")}
                     | {"n": pa.array([len(s) for s in sets], pa.int32())}
                     | {k: pa.array(np.array(v, np.uint64).view(np.int64)) for k, v in zip(("one", "two"), sums)}
-                    | {"keys": _lists([parity_keys(s, percent, starts) if len(s) else s for s in sets])}
+                    | {"keys": _lists([parity_keys(s, percent, starts, most) if len(s) else s for s in sets])}
                 )
 
     return run
 
 
-def _sets(size: int):
+def parity_bits(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Each shingle flips one bit. There are 16 or more bits per allowed difference, a power of two of them."""
+    bits = 64
+    while bits < 16 * difference(len(shingles), len(shingles), percent):
+        bits *= 2
+    flips = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """A sketch as if it had been made with so many words."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
+
+
+def _sets(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = W.text_bytes(batch.column("text"))
             for lo, hi in W.slices(off):
-                found = _lists(list(shingle_sets(data, off, lo, hi, size)))
-                yield pa.RecordBatch.from_pydict({"node": batch.column("node").slice(lo, hi - lo), "shingles": found})
+                sets = list(shingle_sets(data, off, lo, hi, size))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "node": batch.column("node").slice(lo, hi - lo),
+                        "n": pa.array([len(x) for x in sets], pa.int32()),
+                        "bits": pa.array([parity_bits(x, percent).tobytes() for x in sets], pa.binary()),
+                        "shingles": _lists(sets),
+                    }
+                )
 
     return run
 
 
+def _near(sketches: list[bytes], n: np.ndarray, component: np.ndarray, side: np.ndarray, percent: int):
+    """Pairs of places whose components differ and whose sketches allow a link; sides, where two, are compared across."""
+    words = min(len(x) for x in sketches) // 8
+    bits = np.stack([folded(np.frombuffer(x, np.uint64), words) for x in sketches])
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, len(n))
+        j = j[(component[j] != component[i]) & ((side[j] != side[i]) | (side[0] == side[-1]))]
+        if len(j):
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
+            for k in j[apart <= difference(n[j] + n[i], 0, percent)]:
+                yield i, k
+
+
+def _candidates(percent: int):
+    """Rows come sorted by bucket and pair of blocks."""
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        node, n, component, side = (rows.column(k).to_numpy() for k in ("node", "n", "component", "block"))
+        order = np.argsort(side, kind="stable")
+        sketches = rows.column("bits").to_pylist()
+        found = _near([sketches[i] for i in order], n[order].astype(np.int64), component[order], side[order], percent)
+        ends = np.array([(node[order[i]], node[order[j]]) for i, j in found], np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_pydict({"a": pa.array(ends.max(axis=1, initial=0)), "b": pa.array(ends.min(axis=1, initial=1 << 62))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            key, one, two = (table.column(k).to_numpy() for k in ("key", "one", "two"))
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])) + 1
+            begins = [0, *edge.tolist()]
+            for a, b in zip(begins, begins[1:]):
+                yield pairs(table.slice(a, b - a))
+            held = table.slice(begins[-1]).combine_chunks()
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return run
+
+
+def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components in a bucket that their fine sketches let pass."""
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(materialize(sizes, "sizes"), "key").join(sets.select("node", "n", "bits"), "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
+    rows = rows.select("key", "one", "two", "block", "node", "component", "n", "bits")
+    rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+    return rows.mapInArrow(_candidates(percent), "a bigint, b bigint").distinct()
+
+
 def _compare(percent: int):
     """Whether the two sets of each pair link."""
 
@@ -195,17 +281,8 @@ def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     spark = members.sparkSession
     tested = spark.createDataFrame([], "a bigint, b bigint, linked boolean")
     labels = spark.createDataFrame([], "node bigint, component bigint")
-    nodes, before = sets.count(), None
-    for number in range(ROUNDS + 1):
+    for number in range(ROUNDS):
         members = _open_buckets(members.select("key", "node"), labels)
-        sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-        apart = sizes.groupBy("key").agg((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("pairs"))
-        left = apart.agg(F.sum("pairs")).first()[0] or 0
-        if left == 0:
-            return tested.where("linked").select("a", "b")
-        if number == ROUNDS or left <= 2 * PAIRS_PER_SET * nodes or left == before:
-            break
-        before = left
         if number:  # another leader each time, from any of the bucket's components
             by = F.min_by(F.struct("component", "node"), F.xxhash64("node", F.lit(number)))
             lead = materialize(members.groupBy("key").agg(by.alias("lead")), "leaders")
@@ -217,30 +294,31 @@ def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         best = asked.groupBy("node").agg(F.max(F.struct("shared", "a", "b")).alias("pair"))
         tested = tested.unionByName(_verified(best.select("pair.a", "pair.b").distinct(), sets, percent))
         labels = materialize(components(tested.where("linked").select("a", "b")), "labels")
-    # all that is left between different components of a bucket
-    one, two = members.alias("one"), members.alias("two")
-    apart = (F.col("one.key") == F.col("two.key")) & (F.col("one.node") > F.col("two.node"))
-    apart = apart & (F.col("one.component") != F.col("two.component"))
-    rest = one.join(two, apart).select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-    rest = rest.join(tested, ["a", "b"], "left_anti")
+    members = _open_buckets(members.select("key", "node"), labels)
+    rest = _block_pairs(members, sets, percent).join(tested, ["a", "b"], "left_anti")
     return tested.unionByName(_verified(rest, sets, percent)).where("linked").select("a", "b")
 
 
 def similar_documents(
-    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most_parts: int | None = None,
 ) -> DataFrame:
     """Each row's id, n_shingles and component_id; text, uid, text_key and "rest" go along."""
     rows = packed(docs, text_col, id=id_col).withColumn("id", F.col("id").cast("bigint"))
     rows = rows.select(
         F.coalesce("id", F.lit(0).cast("bigint")).alias("uid"), F.xxhash64("id", "text").alias("text_key"), "id", "text", "rest"
     )
-    classes = similar_classes(rows, size, percent)
+    classes = similar_classes(rows, size, percent, most_parts)
     return rows.join(classes, ["uid", "text_key"], "left")
 
 
-def similar_classes(rows: DataFrame, size: int, percent: int) -> DataFrame:
+def similar_classes(rows: DataFrame, size: int, percent: int, most_parts: int | None = None) -> DataFrame:
     """One row per (uid, text_key): n_shingles and component_id."""
-    sketches = rows.select("uid", "text_key", "id", "text").mapInArrow(_sketches(size, percent), SKETCHES)
+    sketches = rows.select("uid", "text_key", "id", "text").mapInArrow(_sketches(size, percent, most_parts), SKETCHES)
     sketches = materialize(sketches.withColumn("row", F.monotonically_increasing_id()), "sketches")
     docs = sketches.select("uid", "text_key", "id", "n", "one", "two", "row")
     classes = materialize(
@@ -254,7 +332,7 @@ def similar_classes(rows: DataFrame, size: int, percent: int) -> DataFrame:
     wanted = members.select(F.col("node").alias("row")).distinct()
     wanted = sketches.select("uid", "text_key", "row").join(wanted, "row").withColumnRenamed("row", "node")
     sets = rows.select("uid", "text_key", "text").join(materialize(wanted, "wanted"), ["uid", "text_key"])
-    sets = sets.select("node", "text").mapInArrow(_sets(size), "node bigint, shingles array<bigint>")
+    sets = sets.select("node", "text").mapInArrow(_sets(size, percent), "node bigint, n int, bits binary, shingles array<bigint>")
     sets = materialize(sets.dropDuplicates(["node"]), "sets")
 
     labels = materialize(components(class_links(members, sets, percent)), "labels")
@@ -274,13 +352,18 @@ def similar_classes(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def one_of_each(
-    docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most_parts: int | None = None,
 ) -> DataFrame:
     """The documents, one of each component: the row of its id. Of rows equal in id and text one stays.
 
     Documents without a word stay. Rows without an id stay unless their component has one.
     """
-    rows = similar_documents(docs, size, percent, id_col, text_col)
+    rows = similar_documents(docs, size, percent, id_col, text_col, most_parts)
     stays = (F.col("n_shingles") == 0) | F.col("component_id").isNull() | F.col("id").eqNullSafe(F.col("component_id"))
     stay = rows.where(stays)
     once = stay.where((F.col("n_shingles") > 0) & F.col("id").isNotNull())
