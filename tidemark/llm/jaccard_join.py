@@ -137,8 +137,8 @@ def _sketches(size: int, percent: int, most: int | None):
             data, off = W.text_bytes(batch.column("text"))
             for lo, hi in W.slices(off):
                 sets = list(shingle_sets(data, off, lo, hi, size))
-                most = max(map(len, sets)) * 2
-                starts = starts if starts[-1] > 2 * most else np.array(bands(4 * most))
+                largest = max(map(len, sets))
+                starts = starts if starts[-1] > 4 * largest else np.array(bands(8 * largest))
                 sums = [[int(W.mix(s ^ np.uint64(c)).sum(dtype=np.uint64)) for s in sets] for c in (11, 13)]
                 yield pa.RecordBatch.from_pydict(
                     {k: batch.column(k).slice(lo, hi - lo) for k in ("uid", "text_key", "id")}
