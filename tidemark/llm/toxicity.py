@@ -76,10 +76,8 @@ def terms(data: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarr
     return (pair // np.uint64(BUCKETS)).astype(np.int64), (pair % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def choose(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, inputs: int = INPUTS) -> np.ndarray:
-    """The buckets whose document frequencies differ most between the classes."""
-    n = np.array([(label == 0).sum(), (label == 1).sum()], float)
-    seen = np.stack([np.bincount(bucket[label[doc] == k], minlength=BUCKETS) for k in (0, 1)]).astype(float)
+def choose(seen: np.ndarray, n: np.ndarray, inputs: int = INPUTS) -> np.ndarray:
+    """The buckets whose document frequencies differ most; seen and n: by class, of buckets and of documents."""
     rate, both = (seen + 0.5) / (n[:, None] + 1), (seen.sum(0) + 1) / (n.sum() + 2)
     z = np.abs(rate[1] - rate[0]) / np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
     z[seen.sum(0) < 5] = 0
@@ -87,16 +85,10 @@ def choose(doc: np.ndarray, bucket: np.ndarray, label: np.ndarray, inputs: int =
     return np.sort(best[z[best] > 3])
 
 
-def fit(doc, bucket, label, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4, inputs: int = INPUTS) -> Machine | None:
-    """The machine fitted to these documents; None without both classes."""
+def fit(doc, term, label, buckets, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> Machine:
+    """The machine fitted to documents that hold these of the chosen buckets."""
     label = np.asarray(label, float)
-    n, positive = len(label), label.sum()
-    if positive == 0 or positive == n:
-        return None
-    buckets = choose(doc, bucket, label, inputs)
-    at = np.searchsorted(buckets, bucket)
-    have = (at < len(buckets)) & (buckets[np.minimum(at, max(0, len(buckets) - 1))] == bucket) if len(buckets) else np.zeros(len(bucket), bool)
-    doc, term = doc[have], at[have]
+    n = len(label)
     x = np.zeros((n, len(buckets)), np.float32)
     x[doc, term] = 1
     rng = np.random.default_rng(5)
@@ -116,26 +108,66 @@ def fit(doc, bucket, label, steps: int = 1500, rate: float = 0.05, decay: float
     return Machine(buckets, float(p[0][0]), p[1], p[2])
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each class hold a bucket, at first for each batch; bucket -1 counts the texts."""
     for batch in batches:
         data, off = W.text_bytes(batch.column("text"))
+        label = batch.column("label").to_numpy()
         for lo, hi in W.slices(off):
             doc, bucket = terms(data, off, lo, hi)
-            ends = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))
-            yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(lo, hi - lo), "terms": lists})
+            toxic = label[lo:hi] == 1
+            all_, ones = np.bincount(bucket, minlength=BUCKETS), np.bincount(bucket[toxic[doc]], minlength=BUCKETS)
+            some = np.flatnonzero(all_)
+            columns = [np.append(x, y) for x, y in ((some, -1), (all_[some], hi - lo), (ones[some], toxic.sum()))]
+            yield pa.RecordBatch.from_pydict({k: pa.array(v.astype(np.int64)) for k, v in zip(("bucket", "n", "toxic"), columns)})
+
+
+def _inputs(buckets: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = W.text_bytes(batch.column("text"))
+            for lo, hi in W.slices(off):
+                doc, term = _held(*terms(data, off, lo, hi), buckets)
+                ends = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32)))
+                yield pa.RecordBatch.from_pydict({"label": batch.column("label").slice(lo, hi - lo), "terms": lists})
+
+    return run
+
+
+def _held(doc: np.ndarray, bucket: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of chosen buckets, and which of the chosen each is."""
+    if len(buckets) == 0:
+        return doc[:0], bucket[:0]
+    at = np.minimum(np.searchsorted(buckets, bucket), len(buckets) - 1)
+    have = buckets[at] == bucket
+    return doc[have], at[have]
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = SAMPLE_ROWS) -> Machine | None:
-    """Fit on about `rows` labelled documents outside the held-out fold."""
+    """Fit on about `rows` labelled documents outside the held-out fold; None without both classes.
+
+    The driver gets a count per bucket and the chosen inputs of the sample, both of bounded size.
+    """
     known = labels.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT).groupBy("doc_id")
     known = known.agg(F.min(label_col).alias("label"), F.max(label_col).alias("most")).where("label = most and doc_id is not null")
     known = sample(known.select("doc_id", F.col("label").cast("int").alias("label")), "doc_id", rows)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(known), "doc_id")
-    got = texts.select("label", "text").mapInArrow(_pairs, "label int, terms array<int>").toArrow()
+    texts = texts.select("label", "text")
+    counts = texts.mapInArrow(_frequencies, "bucket bigint, n bigint, toxic bigint").groupBy("bucket")
+    counts = counts.agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).toArrow()
+    bucket, every, ones = (counts.column(k).to_numpy() for k in ("bucket", "n", "toxic"))
+    seen, n = np.zeros((2, BUCKETS)), np.zeros(2)
+    real = bucket >= 0
+    seen[:, bucket[real]] = [(every - ones)[real], ones[real]]
+    n[:] = [(every - ones)[~real].sum(), ones[~real].sum()]
+    if n.min() == 0:
+        return None
+    buckets = choose(seen, n)
+    got = texts.mapInArrow(_inputs(buckets), "label int, terms array<int>").toArrow()
     lists, label = got.column("terms").combine_chunks(), got.column("label").to_numpy()
-    doc = np.repeat(np.arange(len(label)), np.diff(lists.offsets.to_numpy())) if len(label) else np.zeros(0, np.int64)
-    return fit(doc, lists.flatten().to_numpy().astype(np.int64), label)
+    doc = np.repeat(np.arange(len(label)), np.diff(lists.offsets.to_numpy()))
+    return fit(doc, lists.flatten().to_numpy().astype(np.int64), label, buckets)
 
 
 def _scores(machine: Machine | None):
@@ -145,10 +177,8 @@ def _scores(machine: Machine | None):
             for lo, hi in W.slices(off):
                 score = np.zeros(hi - lo)
                 if machine is not None:
-                    doc, bucket = terms(data, off, lo, hi)
-                    at = np.minimum(np.searchsorted(machine.buckets, bucket), max(0, len(machine.buckets) - 1))
-                    have = machine.buckets[at] == bucket if len(machine.buckets) else np.zeros(len(at), bool)
-                    score = sigmoid(machine.logits(doc[have], at[have], hi - lo))
+                    doc, term = _held(*terms(data, off, lo, hi), machine.buckets)
+                    score = sigmoid(machine.logits(doc, term, hi - lo))
                 part = batch.slice(lo, hi - lo)
                 columns = {k: part.column(k) for k in part.schema.names if k != "text" or "rest" in part.schema.names}
                 yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(score)})
