@@ -99,3 +99,16 @@ def test_query_has_every_document(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {
         d.doc_id: (len(sets[i]), least[component[i]]) for i, d in enumerate(docs)
     }
+
+
+def test_bounded_parts_find_similar_sets():
+    rng = np.random.default_rng(3)
+    starts = np.array(J.bands(5000))
+    for _ in range(500):
+        n = int(rng.integers(200, 900))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        gone = n // 10
+        b = np.concatenate([a[gone:], rng.integers(0, 1 << 63, gone, dtype=np.uint64)])
+        keys = J.parity_keys(a, 80, starts, J.PARTS)
+        assert len(keys) <= 2 * J.PARTS
+        assert set(keys.tolist()) & set(J.parity_keys(b, 80, starts, J.PARTS).tolist())

@@ -84,8 +84,8 @@ def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray, most: in
     for band in range(own, own + 2):
         if band > own and reach < starts[band]:
             break
-        most = int(starts[band + 1]) - 1
-        least_parts = difference(most, most, percent) + 1
+        top = int(starts[band + 1]) - 1
+        least_parts = difference(top, top, percent) + 1
         if least_parts == 1:
             continue  # only equal sets can link
         spare = least_parts // 8
