@@ -36,6 +36,13 @@ def test_csv_keeps_text_until_silver(spark, folder):
     assert raw.count() == 9 and raw.where("customer_id IS NULL").count() == 1
 
 
+def test_json_lines_are_recognised(spark, folder):
+    lines = "\n".join(json.dumps({"a": str(i)}) for i in range(1000))
+    assert read_raw(spark, write_text(folder, "lines.json", "\n" + lines)).count() == 1000
+    document = json.dumps([{"a": str(i)} for i in range(1000)], indent=1)
+    assert read_raw(spark, write_text(folder, "document.json", document)).count() == 1000
+
+
 def test_json_document_and_json_lines(spark, folder):
     records = [{"order_id": "o1", "amount": 1.5}, {"order_id": "o2", "amount": 2}]
     document = read_raw(spark, write_text(folder, "a.json", json.dumps(records)))

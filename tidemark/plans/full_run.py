@@ -57,7 +57,7 @@ def run(
     lateness: timedelta | None = None,
     exact_profile: bool = True,
     reports: bool = True,
-    json_lines: bool = False,
+    json_lines: bool | None = None,
 ) -> RunResult:
     """Run the job and give the counts of the run and its stored tables.
 

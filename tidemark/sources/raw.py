@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PREVIEW_ROWS = 2000
@@ -15,13 +17,14 @@ def read_raw(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
-    json_lines: bool = False,
+    json_lines: bool | None = None,
 ) -> DataFrame:
     """Read CSV, JSON or Parquet, chosen by the suffix of the path.
 
     CSV and JSON values stay text until Silver casts them, so no pass over the
-    data infers types. A JSON input is one document (an array of records) per
-    file; json_lines=True reads one record per line, which Spark can split.
+    data infers types. A JSON input has one record per line, which Spark can
+    split, or one document (an array of records) per file; unless json_lines
+    says which, the first line that isn't blank decides for all files.
     Without a schema Spark passes over JSON once for the field names, so give
     one when the input is large.
     """
@@ -30,12 +33,22 @@ def read_raw(
     if suffix == ".csv":
         return reader.option("header", True).csv(str(path))
     if suffix == ".json":
+        json_lines = _has_json_lines(spark, str(path)) if json_lines is None else json_lines
         return reader.option("multiLine", not json_lines).option("primitivesAsString", True).json(str(path))
     if suffix == ".parquet":
         return reader.parquet(str(path))
     raise ValueError(f"Unsupported input type: {suffix}")
 
 
+def _has_json_lines(spark: SparkSession, path: str) -> bool:
+    """Whether the first line that isn't blank is a record by itself."""
+    line = spark.read.text(path).where(F.trim("value") != "").first()
+    try:
+        return line is not None and isinstance(json.loads(line[0].lstrip("\ufeff")), dict)
+    except ValueError:
+        return False
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small input out to all cores when its files have too few splits.
 
