@@ -51,6 +51,7 @@ BAND = 1.37
 ROUNDS = 2
 BLOCK = 512
 PARTS = 64  # a bound of parts for similarities below 0.9, where exactness would take a third of the shingles
+BITS = 26  # of a hash that picks a bit of the bitmap of wanted rows, which thus has 8 MB at every input size
 SKETCHES = "uid bigint, text_key bigint, id bigint, n int, one bigint, two bigint, keys array<bigint>"
 
 
@@ -299,6 +300,20 @@ def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return tested.unionByName(_verified(rest, sets, percent)).where("linked").select("a", "b")
 
 
+def _among(rows: DataFrame, wanted: DataFrame, key: list[str]) -> DataFrame:
+    """The rows that may be wanted: those whose hash has its bit set in a bitmap of the wanted ones.
+
+    Its 2^BITS bits come to 8 MB to broadcast, whatever the input. Rows that share a bit by
+    chance fall out in the join that follows; a bitmap that fills up only spares less.
+    """
+    at = F.pmod(F.xxhash64(*key), F.lit(1 << BITS))
+    chunk, place = F.shiftright(at, 15).cast("int"), at.bitwiseAND(F.lit((1 << 15) - 1))
+    bits = wanted.groupBy(chunk.alias("chunk")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", (F.shiftright("place", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = rows.withColumns({"chunk": chunk, "place": place}).join(F.broadcast(materialize(bits, "bits")), "chunk")
+    return marked.where(F.getbit(byte, (F.col("place") % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def similar_documents(
     docs: DataFrame,
     size: int = SHINGLE,
@@ -331,7 +346,8 @@ def similar_classes(rows: DataFrame, size: int, percent: int, most_parts: int |
 
     wanted = members.select(F.col("node").alias("row")).distinct()
     wanted = sketches.select("uid", "text_key", "row").join(wanted, "row").withColumnRenamed("row", "node")
-    sets = rows.select("uid", "text_key", "text").join(materialize(wanted, "wanted"), ["uid", "text_key"])
+    wanted = materialize(wanted, "wanted")
+    sets = _among(rows.select("uid", "text_key", "text"), wanted, ["uid", "text_key"]).join(wanted, ["uid", "text_key"])
     sets = sets.select("node", "text").mapInArrow(_sets(size, percent), "node bigint, n int, bits binary, shingles array<bigint>")
     sets = materialize(sets.dropDuplicates(["node"]), "sets")
 
