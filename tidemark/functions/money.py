@@ -3,8 +3,11 @@
 A double sum changes in its last digits with partitioning, and casting each row
 to DECIMAL costs over ten times a double sum. Here each amount becomes a whole
 number of millionths, whose high and low bits are summed as BIGINTs; both sums
-stay exact, in codegen and in partial aggregation. Amounts too large for that, and NaN or
-infinite ones, are added as doubles so that no row is left out.
+stay exact, in codegen and in partial aggregation, for up to 2^38 rows a group (beyond,
+the ANSI sum raises an error). What an amount has below a millionth is added as a double
+where it exceeds the noise of the amount itself, so finely divided amounts keep their
+sums. Amounts from LARGEST on, and NaN or infinite ones, are added as doubles; sums that
+hold these or fine amounts may differ in the last digits by the order of rows.
 """
 
 from __future__ import annotations
@@ -13,8 +16,9 @@ from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 SCALE = 1_000_000
-LOW_BITS = 20
+LOW_BITS = 25
 LARGEST = 1e9
+NOISE = 2.0**-50
 
 _PARTS = ("hi", "lo", "rest")
 
@@ -22,10 +26,12 @@ _PARTS = ("hi", "lo", "rest")
 def _split(c: Column) -> dict[str, Column]:
     ordinary = F.abs(c) < LARGEST
     units = F.rint(c * F.lit(float(SCALE))).cast("bigint")
+    below = c - units / F.lit(float(SCALE))
+    fine = F.abs(below) > F.abs(c) * F.lit(NOISE)
     return {
         "hi": F.when(ordinary, F.shiftright(units, LOW_BITS)),
         "lo": F.when(ordinary, units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))),
-        "rest": F.when(~ordinary, c),
+        "rest": F.when(~ordinary, c).when(fine, below),
     }
 
 

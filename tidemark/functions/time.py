@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 def as_naive_timestamp(c: Column, dtype: T.DataType) -> Column:
     """Cast to TIMESTAMP_NTZ, unreadable values to null. Whole numbers are microseconds."""
     if isinstance(dtype, T.IntegralType):
-        return F.timestamp_micros(c).cast("timestamp_ntz")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_add("MICROSECOND", c.cast("bigint"), epoch)
     return c.try_cast("timestamp_ntz")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import naive
+from tidemark.operators.relax import relaxed_union
 from tidemark.operators.silver import KEY, VERSION, latest_per_order
 from tidemark.operators.sizes import BROADCAST_BYTES, fits_broadcast
 from tidemark.session import materialize
@@ -28,16 +29,17 @@ def newer_than(valid: DataFrame, mark: datetime | None, lateness: timedelta | No
 def merge_latest(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Latest row per order of both frames, each of which holds an order once; incoming is stored.
 
-    Columns that one side lacks are null there. The ids of a small batch are
+    Columns that one side lacks are null there; a column of two types takes the
+    wider one, or text. The ids of a small batch are
     broadcast, and the existing rows of other orders pass without a shuffle; a
     larger batch is merged by a shuffle of both sides.
     """
     if not fits_broadcast(incoming, KEY, broadcast_bytes):
-        return latest_per_order(existing.unionByName(incoming, allowMissingColumns=True))
+        return latest_per_order(relaxed_union(existing, incoming))
     ids = F.broadcast(incoming.select(KEY))
     kept = existing.join(ids, KEY, "left_anti")
-    touched = existing.join(ids, KEY, "left_semi").unionByName(incoming, allowMissingColumns=True)
-    return kept.unionByName(latest_per_order(touched), allowMissingColumns=True)
+    touched = relaxed_union(existing.join(ids, KEY, "left_semi"), incoming)
+    return relaxed_union(kept, latest_per_order(touched))
 
 
 def changed_days(existing: DataFrame, incoming: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

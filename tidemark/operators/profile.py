@@ -75,7 +75,14 @@ def _cells(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:
     """The non-null values of the columns as (column, value) rows."""
     doubles = _of(df, T.DoubleType, T.FloatType)
     # adding 0.0 makes -0.0 and 0.0 the same value
-    values = [(F.col(f"`{c}`") + F.lit(0.0) if c in doubles else F.col(f"`{c}`")).cast(to).alias(c) for c in columns]
+    nested = _of(df, T.ArrayType, T.MapType, T.StructType)  # as text, ['a, b'] and ['a', 'b'] would be alike
+
+    def value(c: str) -> Column:
+        if c in nested:
+            return F.to_json(F.col(f"`{c}`"))
+        return (F.col(f"`{c}`") + F.lit(0.0) if c in doubles else F.col(f"`{c}`")).cast(to)
+
+    values = [value(c).alias(c) for c in columns]
     return df.select(*values).unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
 
 

@@ -50,11 +50,19 @@ def quarantined_rows(df: DataFrame) -> DataFrame:
     return df.where(~F.coalesce(is_valid(), F.lit(False)))
 
 
-def _tie_breakers(df: DataFrame) -> list[str]:
-    """Every other column that can be ordered: canonical ones first, then by name."""
-    sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    rest = [c for c in sortable if c not in (KEY, VERSION)]
-    return [c for c in CANONICAL_COLUMNS if c in rest] + sorted(set(rest) - set(CANONICAL_COLUMNS))
+def _sortable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _sortable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_sortable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _tie_breakers(df: DataFrame) -> list[Column]:
+    """Every other column: canonical ones first, then by name; what has no order goes by a hash of its JSON text."""
+    types = {f.name: f.dataType for f in df.schema.fields if f.name not in (KEY, VERSION)}
+    names = [c for c in CANONICAL_COLUMNS if c in types] + sorted(set(types) - set(CANONICAL_COLUMNS))
+    return [F.col(f"`{c}`") if _sortable(types[c]) else F.xxhash64(F.to_json(F.col(f"`{c}`"))) for c in names]
 
 
 def latest_per_order(df: DataFrame) -> DataFrame:
@@ -66,7 +74,7 @@ def latest_per_order(df: DataFrame) -> DataFrame:
     with very many versions does not load one reducer. The hash leads the window's
     sort because ids share long prefixes and are slow to compare.
     """
-    newest_first = [F.col(c).desc_nulls_last() for c in [VERSION, *_tie_breakers(df)]]
+    newest_first = [c.desc_nulls_last() for c in [F.col(VERSION), *_tie_breakers(df)]]
     place = F.row_number().over(Window.partitionBy(F.xxhash64(KEY), KEY).orderBy(*newest_first))
     return df.withColumn("_place", place).where("_place = 1").drop("_place")
 

@@ -24,6 +24,8 @@ FACT_COLUMNS = [
     "gross_revenue",
 ]
 
+DIMENSIONS = ["dim_customer", "dim_vendor", "dim_product", "dim_category", "dim_date"]
+
 
 def duration_minutes(whole_minutes: bool = False) -> Column:
     """Minutes from order_ts to updated_at, never below 0; 0 when one is missing."""

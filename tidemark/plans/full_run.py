@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -11,6 +11,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import star
 from tidemark.operators.adapt import CANONICAL_COLUMNS, adapt_to_canonical
@@ -55,20 +56,25 @@ def run(
     incremental: bool = False,
     full_refresh: bool = False,
     lateness: timedelta | None = None,
-    exact_profile: bool = True,
+    exact_profile: bool = False,
+    skip_mode: Sequence[str] = (),
     reports: bool = True,
     json_lines: bool | None = None,
+    schema: T.StructType | None = None,
 ) -> RunResult:
     """Run the job and give the counts of the run and its stored tables.
 
     Each layer is stored before the next reads it, so no row is computed twice
-    and a lost executor costs no more than its own tasks.
+    and a lost executor costs no more than its own tasks. An incremental run
+    without new rows gives the stored tables and leaves the reports as they are.
+    A schema spares JSON the pass that looks for field names; skip_mode names text
+    columns whose most frequent value an estimated profile needn't find.
     """
     pin_utc(spark)
     ingested_at = datetime.now(timezone.utc)
     run_id = f"{ingested_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
-    canonical, kind = adapt_to_canonical(read_raw(spark, input_path, json_lines=json_lines), input_path)
+    canonical, kind = adapt_to_canonical(read_raw(spark, input_path, schema, json_lines), input_path)
     raw = spread(stamp(canonical, ingested_at))
     require_columns(raw, CANONICAL_COLUMNS)
     path = write_bronze(raw, f"{output_root}/bronze", ingested_at, run_id)
@@ -96,11 +102,12 @@ def run(
     removed = (taken + (was.rows if days is not None else 0) - now.rows) if changed else 0
 
     orders = silver.read(now)
-    tables = _gold(orders, f"{output_root}/gold", was.version, now, days)
+    stored = None if changed else _stored_gold(spark, f"{output_root}/gold", now)
+    tables = stored or _gold(orders, f"{output_root}/gold", was.version, now, days)
     tables |= {"bronze_orders": bronze, "silver_orders": orders}
     register_views(tables)
-    if reports:
-        _report(tables, output_root, exact_profile)
+    if reports and not stored:
+        _report(tables, output_root, exact_profile, skip_mode)
     return RunResult(
         run_id, kind, changed, skipped_rows=skipped, dedup_removed=removed, silver_rows=now.rows, tables=tables, **counts
     )
@@ -120,6 +127,15 @@ def _same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def _stored_gold(spark: SparkSession, root: str, silver: State) -> dict[str, DataFrame] | None:
+    """The stored star, if it was built from this Silver."""
+    fact = Versions(spark, f"{root}/fact_orders")
+    state = fact.state()
+    if state.version != silver.version:
+        return None
+    return {name: spark.read.parquet(f"{root}/{name}") for name in star.DIMENSIONS} | {"fact_orders": fact.read(state)}
+
+
 def _gold(
     orders: DataFrame, root: str, silver_was: str | None, silver_now: State, days: list | None
 ) -> dict[str, DataFrame]:
@@ -155,14 +171,14 @@ def _gold(
     return {name: stored[name].parquet(path) for name, path in paths.items()} | {"fact_orders": fact.read()}
 
 
-def _report(tables: dict[str, DataFrame], root: str, exact_profile: bool) -> None:
+def _report(tables: dict[str, DataFrame], root: str, exact_profile: bool, skip_mode: Sequence[str]) -> None:
     results = kpi_suite(tables) | {"cohort_retention": cohort_retention(tables["fact_orders"])}
     writes = [
         partial(write_parquet if name in FACT_SIZED else write_csv, df, f"{root}/kpis/{name}")
         for name, df in results.items()
     ]
     writes += [partial(write_csv, df, f"{root}/validation/{name}") for name, df in validation_suite(tables).items()]
-    profiled = materialize(profile(tables["silver_orders"], exact=exact_profile), "profile")
+    profiled = materialize(profile(tables["silver_orders"], exact=exact_profile, skip_mode=skip_mode), "profile")
     writes += [
         partial(write_csv, profiled, f"{root}/reports/data_profile"),
         partial(write_csv, summary(profiled), f"{root}/reports/data_quality_summary"),

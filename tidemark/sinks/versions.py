@@ -13,12 +13,14 @@ import json
 from collections import Counter
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.relax import shaped
 from tidemark.sinks.files import write_by_day
 
 DAY = "order_date"
@@ -40,7 +42,8 @@ _COMMITS = T.StructType(
 class State:
     """The current folders of a table: one entry per day, however many rows it has.
 
-    whole names the versions all of whose days are current.
+    whole names the versions all of whose days are current, schemas the columns
+    each version was written with.
     """
 
     seq: int
@@ -50,6 +53,7 @@ class State:
     rows: int
     high_water: datetime | None
     schema: T.StructType | None
+    schemas: dict[str, T.StructType]
 
 
 @dataclass(frozen=True)
@@ -65,7 +69,7 @@ class Versions:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return State(0, None, {}, set(), 0, None, None)
+            return State(0, None, {}, set(), 0, None, None, {})
         newest = commits.groupBy("day").agg(F.max_by(F.struct(*_COMMITS.fieldNames()), "seq").alias("c")).select("c.*")
         rows = newest.collect()  # one per day, and one without
         last = max(rows, key=lambda r: r.seq, default=None)
@@ -80,6 +84,7 @@ class Versions:
             rows=sum(r.rows for r in live),
             high_water=max((r.high_water for r in live if r.high_water is not None), default=None),
             schema=T.StructType.fromJson(json.loads(last.columns)) if last else None,
+            schemas={r.version: T.StructType.fromJson(json.loads(r.columns)) for r in live},
         )
 
     def read(self, state: State | None = None) -> DataFrame | None:
@@ -90,12 +95,18 @@ class Versions:
         if not state.versions:
             return self.spark.createDataFrame([], state.schema)
         data = f"{self.root}/data"
-        folders = [f"{data}/version={v}" for v in sorted(state.whole)]
+        folders = [(v, f"{data}/version={v}") for v in sorted(state.whole)]
         folders += [
-            f"{data}/version={v}/{DAY}={d}" for d, v in sorted(state.versions.items()) if v not in state.whole
+            (v, f"{data}/version={v}/{DAY}={d}") for d, v in sorted(state.versions.items()) if v not in state.whole
         ]
-        reader = self.spark.read.option("basePath", data).schema(state.schema)
-        return reader.parquet(*folders).select(*state.schema.fieldNames())
+        alike: dict[str, list[str]] = {}  # by the schema they were written with
+        for version, folder in folders:
+            alike.setdefault(state.schemas[version].json(), []).append(folder)
+        parts = []
+        for columns, paths in alike.items():
+            reader = self.spark.read.option("basePath", data).schema(T.StructType.fromJson(json.loads(columns)))
+            parts.append(shaped(reader.parquet(*paths), state.schema))
+        return reduce(DataFrame.union, parts)
 
     def publish(
         self,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ def read_raw(
 ) -> DataFrame:
     """Read CSV, JSON or Parquet, chosen by the suffix of the path.
 
-    CSV and JSON values stay text until Silver casts them, so no pass over the
+    CSV files whose headers differ in names or order raise an error. CSV and JSON values stay text until Silver casts them, so no pass over the
     data infers types. A JSON input has one record per line, which Spark can
     split, or one document (an array of records) per file; unless json_lines
     says which, the first line that isn't blank decides for all files.
@@ -31,7 +30,7 @@ def read_raw(
     suffix = PurePosixPath(str(path)).suffix.lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
     if suffix == ".csv":
-        return reader.option("header", True).csv(str(path))
+        return reader.option("header", True).option("enforceSchema", False).csv(str(path))
     if suffix == ".json":
         json_lines = _has_json_lines(spark, str(path)) if json_lines is None else json_lines
         return reader.option("multiLine", not json_lines).option("primitivesAsString", True).json(str(path))
@@ -42,11 +41,10 @@ def read_raw(
 
 def _has_json_lines(spark: SparkSession, path: str) -> bool:
     """Whether the first line that isn't blank is a record by itself."""
-    line = spark.read.text(path).where(F.trim("value") != "").first()
-    try:
-        return line is not None and isinstance(json.loads(line[0].lstrip("\ufeff")), dict)
-    except ValueError:
-        return False
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    # only the verdict comes to the driver, as a document may be one very long line
+    first = lines.select(F.json_object_keys(F.ltrim("value", F.lit("\ufeff"))).isNotNull()).first()
+    return first is not None and first[0]
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from tidemark.operators.incremental import load, newer_than
 from tidemark.operators.ranking import top_k
 from tidemark.operators.silver import latest_per_order, normalize, quarantined_rows, valid_rows
 from tidemark.plans import kpis, validation
-from tidemark.plans.full_run import merge_days
+from tidemark.plans.full_run import merge_days, run
 from tidemark.plans.named_pack import run_named_pack
 from tidemark.session import materialize, scratch_path
 from tidemark.sinks.extracts import MAX_ROWS, publish_extracts
@@ -106,6 +106,44 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(_first_silver(spark, sf_dir), _valid(spark, sf_dir), lateness=timedelta(days=30))
 
 
+@check(
+    "incremental_merge_mixed_types",
+    orders(
+        f"""SELECT {CANONICAL_SQL}, CAST(supplier AS VARCHAR) AS supplier, origin
+            FROM (SELECT *, {LATEST} AS place FROM (
+              SELECT *, 'first' AS origin FROM existing UNION ALL
+              SELECT *, NULL FROM valid WHERE updated_at > (SELECT max(updated_at) FROM existing)))
+            WHERE place = 1""",
+        FIRST_SILVER,
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a column that is text on one side and whole numbers on the other, and one that only Silver has
+    first = _first_silver(spark, sf_dir).withColumn("supplier", F.col("supplier").cast("string"))
+    return load(first.withColumn("origin", F.lit("first")), _valid(spark, sf_dir))
+
+
+@check(
+    "full_run_counts",
+    events(
+        f"""SELECT (SELECT count(*) FROM raw) AS bronze_rows,
+             (SELECT count(*) FROM normal WHERE NOT ({VALID})) AS quarantined_rows,
+             (SELECT count(*) - count(DISTINCT order_id) FROM normal WHERE {VALID}) AS dedup_removed,
+             (SELECT count(*) FROM silver) AS silver_rows, (SELECT count(*) FROM fact) AS fact_rows,
+             (SELECT count(*) FROM dim_customer) AS customers, (SELECT count(*) FROM dim_product) AS products,
+             (SELECT count(*) FROM dim_category) AS categories"""
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "events.parquet")
+    views.raw_events(spark, sf_dir).write.parquet(path)
+    done = run(spark, path, scratch_path(spark, "lake"), reports=False)
+    names = ["bronze_rows", "quarantined_rows", "dedup_removed", "silver_rows"]
+    stored = {"fact_rows": "fact_orders", "customers": "dim_customer", "products": "dim_product", "categories": "dim_category"}
+    counts = [getattr(done, n) for n in names] + [done.tables[t].count() for t in stored.values()]
+    return spark.createDataFrame([tuple(counts)], ", ".join(f"{n} bigint" for n in [*names, *stored]))
+
+
 @check("incremental_noop", orders(f"SELECT {SILVER_SQL} FROM existing", FIRST_SILVER))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _first_silver(spark, sf_dir)
@@ -243,10 +281,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, fact = scratch_path(spark, "extracts"), views.fact(spark, sf_dir)
-    ranked = kpis.order_rank_per_customer(materialize(fact.select(*kpis.RANKED), "orders")).orderBy("customer_id", "rn")
+    ranked = kpis.order_rank_per_customer(materialize(fact.select(*kpis.RANKED), "orders"))
     nulls = validation.null_rates(fact)
-    publish_extracts({"ranked": ranked}, {"null_rates": nulls}, target, source=sf_dir)
-    return spark.read.schema(ranked.schema).option("header", True).csv(f"{target}/kpis/ranked")
+    publish_extracts({"kpi_order_rank_per_customer": ranked}, {"null_rates": nulls}, target, source=sf_dir)
+    return spark.read.schema(ranked.schema).option("header", True).csv(f"{target}/kpis/kpi_order_rank_per_customer")
 
 
 PACK = {

@@ -12,10 +12,12 @@ from tidemark_checks.catalog import check
 from tidemark_checks.oracle import NORMAL, SILVER, VALID, events, money, orders, trips
 from tidemark.functions.keys import composite_key
 from tidemark.functions.money import exact_sum
+from tidemark.functions.time import naive
 from tidemark.operators import silver as clean
 from tidemark.operators import star
 from tidemark.operators.adapt import CANONICAL_COLUMNS, adapt_taxi
 from tidemark.operators.bronze import stamp
+from tidemark.operators.incremental import high_water_mark
 from tidemark.operators.star_join import enrich
 from tidemark.session import pin_utc, scratch_path
 from tidemark.sources.raw import read_raw
@@ -52,6 +54,25 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed(read_raw(spark, path, schema=names, json_lines=True), source)
 
 
+@check("src_json_lines", SOURCE_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    source, path = views.table(spark, sf_dir, "orders"), scratch_path(spark, "orders.json")
+    source.write.json(path)
+    return _typed(read_raw(spark, path), source)
+
+
+@check("src_json_array", SOURCE_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array documents of about a thousand records each."""
+    pin_utc(spark)
+    source, path = views.table(spark, sf_dir, "orders"), scratch_path(spark, "orders.json")
+    group = F.expr("o_orderkey div 4000")
+    documents = source.groupBy(group.alias("g")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    documents.repartition(documents.count(), "g").select("value").write.option("lineSep", "\n").text(path)
+    return _typed(read_raw(spark, path), source)
+
+
 @check("adapt_taxi", trips(f"SELECT {CANONICAL_SQL} FROM raw", ""))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapt_taxi(views.trips(spark, sf_dir))
@@ -88,12 +109,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid = clean.valid_rows(clean.normalize(views.raw_orders(spark, sf_dir)))
-    return valid.agg((F.count("*") - F.count_distinct("order_id")).alias("dedup_removed"))
+    removed = valid.count() - clean.latest_per_order(valid).count()
+    return spark.createDataFrame([(removed,)], "dedup_removed bigint")
 
 
 @check("silver_watermark", orders("SELECT max(updated_at) AS watermark FROM silver", SILVER))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.silver(spark, sf_dir).agg(F.max("updated_at").alias("watermark"))
+    mark = high_water_mark(views.silver(spark, sf_dir))
+    return spark.range(1).select(naive(mark).alias("watermark"))
 
 
 @check("fact_measures", orders("SELECT order_id, order_date, unit_amount, gross_revenue FROM fact"))
