@@ -44,28 +44,28 @@ def listed(df):
 
 def test_star_of_one_trip(spark):
     df = spark.createDataFrame(
-        [("o1", "vendor_1", "route_10-20", datetime(2026, 1, 1), datetime(2026, 1, 1, 0, 30), "vendor_1", 20.0, 2)],
+        [("t7", "vendor_6", "route_31-7", datetime(2025, 5, 4), datetime(2025, 5, 4, 0, 24), "vendor_6", 45.0, 3)],
         CANONICAL_SCHEMA,
     )
     tables = star.build_star(df)
     assert set(tables) == {"dim_customer", "dim_vendor", "dim_product", "dim_category", "dim_date", "fact_orders"}
-    assert listed(tables["dim_vendor"]) == [("vendor_1", "1")]
+    assert listed(tables["dim_vendor"]) == [("vendor_6", "6")]
     (fact,) = tables["fact_orders"].collect()
     assert tables["fact_orders"].columns == star.FACT_COLUMNS
-    assert (fact.trip_duration_min, fact.unit_amount, fact.gross_revenue, fact.category_sk) == (30.0, 10.0, 40.0, 1)
+    assert (fact.trip_duration_min, fact.unit_amount, fact.gross_revenue, fact.category_sk) == (24.0, 15.0, 135.0, 1)
 
 
 def test_sample_dimensions(sample):
     assert listed(sample["dim_category"].orderBy("category_sk")) == [
-        (1, "books"),
-        (2, "electronics"),
-        (3, "grocery"),
-        (4, "home"),
+        (1, "ceramics"),
+        (2, "furniture"),
+        (3, "lighting"),
+        (4, "textile"),
     ]
     weeks = sample["dim_date"].orderBy("order_date").select("week_of_year", "day_of_week")
-    assert listed(weeks) == [(1, 4), (1, 5), (1, 6), (1, 7), (2, 1)]
+    assert listed(weeks) == [(10, 4), (10, 5), (10, 7), (11, 1), (11, 2), (11, 3)]
     durations = {r.order_id: r.trip_duration_min for r in sample["fact_orders"].collect()}
-    assert durations.pop("o2") == 60.0 and set(durations.values()) == {0.0}
+    assert (durations.pop("A-11"), durations.pop("A-12")) == (720.0, 30.0) and set(durations.values()) == {0.0}
 
 
 def test_null_category_and_durations(spark):
@@ -100,27 +100,29 @@ def test_many_categories_get_the_same_dense_keys(spark):
 
 def test_sample_kpis(sample_kpis):
     got = {name: listed(df) for name, df in sample_kpis.items()}
-    days = [date(2026, 1, d) for d in range(1, 6)]
-    assert got["kpi_daily_revenue"] == list(zip(days, [144.0, 50.0, 45.0, 12.0, 120.0]))
-    assert [r[2] for r in got["kpi_revenue_lag"]] == [None, 144.0, 50.0, 45.0, 12.0]
-    assert [r[2] for r in got["kpi_running_revenue"]] == [144.0, 194.0, 239.0, 251.0, 371.0]
-    assert got["kpi_revenue_by_week"] == [(date(2025, 12, 29), 251.0), (date(2026, 1, 5), 120.0)]
-    assert got["kpi_top_categories"] == [("electronics", 220.0), ("books", 56.0), ("home", 50.0), ("grocery", 45.0)]
-    assert sorted(got["kpi_quantity_by_category"]) == [("books", 3), ("electronics", 2), ("grocery", 3), ("home", 1)]
-    assert got["kpi_top_products"] == [("p1", 220.0), ("p3", 50.0), ("p6", 45.0), ("p2", 44.0), ("p7", 12.0)]
-    assert got["kpi_orders_per_customer"] == [("c1", 3), ("c2", 1), ("c4", 1), ("c5", 1)]
-    assert sorted((c, q) for c, _, q in got["kpi_customer_ntile"]) == [("c1", 4), ("c2", 2), ("c4", 3), ("c5", 1)]
-    assert sorted(got["kpi_peak_hour"]) == [(h, 1) for h in (8, 9, 10, 14, 15, 16)]
-    assert got["kpi_avg_order_value"] == [(371.0 / 6,)]
+    days = [date(2025, 3, d) for d in (6, 7, 9, 10, 11, 12)]
+    assert got["kpi_daily_revenue"] == list(zip(days, [191.0, 50.0, 240.0, 99.0, 225.0, 20.0]))
+    assert [r[2] for r in got["kpi_revenue_lag"]] == [None, 191.0, 50.0, 240.0, 99.0, 225.0]
+    assert [r[2] for r in got["kpi_running_revenue"]] == [191.0, 241.0, 481.0, 580.0, 805.0, 825.0]
+    assert got["kpi_revenue_by_week"] == [(date(2025, 3, 3), 481.0), (date(2025, 3, 10), 344.0)]
+    assert got["kpi_top_categories"] == [("furniture", 465.0), ("lighting", 160.0), ("textile", 130.0), ("ceramics", 70.0)]
+    units = [("ceramics", 9), ("furniture", 2), ("lighting", 2), ("textile", 4)]
+    assert sorted(got["kpi_quantity_by_category"]) == units
+    assert got["kpi_top_products"] == [("desk", 465.0), ("lamp", 160.0), ("rug", 130.0), ("vase", 50.0), ("cup", 20.0)]
+    assert got["kpi_orders_per_customer"] == [("kim", 3), ("ola", 2), ("ravi", 1), ("tess", 1)]
+    quartiles = [("kim", 4), ("ola", 1), ("ravi", 3), ("tess", 2)]
+    assert sorted((c, q) for c, _, q in got["kpi_customer_ntile"]) == quartiles
+    assert sorted(got["kpi_peak_hour"]) == [(h, 1) for h in (7, 10, 11, 13, 16, 18, 20)]
+    assert got["kpi_avg_order_value"] == [(825.0 / 7,)]
     assert sorted((c, g, rn) for c, _, g, rn in got["kpi_order_rank_per_customer"])[:3] == [
-        ("c1", 50.0, 3),
-        ("c1", 100.0, 2),
-        ("c1", 120.0, 1),
+        ("kim", 50.0, 3),
+        ("kim", 160.0, 2),
+        ("kim", 225.0, 1),
     ]
 
 
 def test_sample_cohort_and_validations(sample):
-    assert listed(cohort_retention(sample["fact_orders"])) == [(date(2026, 1, 1), 0, 4, 4, 1.0)]
+    assert listed(cohort_retention(sample["fact_orders"])) == [(date(2025, 3, 1), 0, 4, 4, 1.0)]
     got = {name: listed(df)[0] for name, df in validation.validation_suite(sample).items()}
     assert got == {
         "validation_duplicates_before": (1,),
@@ -133,9 +135,9 @@ def test_sample_cohort_and_validations(sample):
 def test_integrity_of_an_empty_and_of_a_broken_fact(sample):
     fact, customers, products = (sample[n] for n in ("fact_orders", "dim_customer", "dim_product"))
     assert listed(validation.referential_integrity(fact.where("false"), customers, products)) == [(0, 0)]
-    # c1 has three orders, p1 two; a doubled dimension row must not count them twice
-    few = customers.where("customer_id <> 'c1'")
-    less = products.where("product_id <> 'p1'")
+    # kim has three orders, desk two; a doubled dimension row must not count them twice
+    few = customers.where("customer_id <> 'kim'")
+    less = products.where("product_id <> 'desk'")
     assert listed(validation.referential_integrity(fact, few.union(few), less.union(less))) == [(3, 2)]
 
 
@@ -156,7 +158,7 @@ def test_categories_of_a_product_count_twice_only_via_product(spark):
 
 def test_named_pack(spark, sample):
     out = run_named_pack(spark, sample, {"n": "SELECT count(*) AS n FROM fact_orders", "m": "SELECT 1 AS m"})
-    assert listed(out["n"]) == [(6,)] and listed(out["m"]) == [(1,)]
+    assert listed(out["n"]) == [(7,)] and listed(out["m"]) == [(1,)]
 
 
 def skewed(spark, rows=3000):
@@ -219,8 +221,8 @@ def test_order_ranks_of_a_hot_customer(spark):
 
 
 def test_top_k(spark):
-    df = spark.createDataFrame([("x", 1.0), ("y", 3.0), ("z", 2.0), ("w", 2.0)], "label string, value double")
-    assert listed(top_k(df, "label", "value", 2)) == [("y", 3.0), ("w", 2.0)]
+    df = spark.createDataFrame([("jay", 4.5), ("elk", 9.0), ("owl", 6.0), ("bat", 6.0)], "label string, value double")
+    assert listed(top_k(df, "label", "value", 2)) == [("elk", 9.0), ("bat", 6.0)]
 
 
 def test_exact_sums(spark):
@@ -242,6 +244,10 @@ def test_sums_leave_nothing_out(spark):
 
     assert add(1e12, 0.5, -2.25) == 1e12 - 1.75
     assert math.isinf(add(1.0, math.inf)) and math.isnan(add(1.0, math.nan))
+    assert math.isclose(add(*[4e-7] * 1000), 4e-4, rel_tol=1e-12)
+    assert math.isclose(add(3.0, 1.25e-7), 3.000000125, rel_tol=1e-15)
+    near = [999_999_999.999999] * 1000
+    assert math.isclose(add(*near), 999_999_999_999.999, rel_tol=1e-15)
     assert add(None, None) is None and add(None, -0.1, 0.3) == 0.2
     assert spark.createDataFrame([], "v double").agg(exact_avg(F.col("v"))).first()[0] is None
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 import json
 import random
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.data import CANONICAL_SCHEMA, ORDERS_CSV, write_text
 from tidemark.functions.keys import composite_key
 from tidemark.functions.text import plain_double, strip_whitespace
-from tidemark.functions.time import seconds_between
+from tidemark.functions.time import as_naive_timestamp, seconds_between
 from tidemark.operators.adapt import CANONICAL_COLUMNS, adapt_to_canonical, align_to
 from tidemark.operators.bronze import stamp
 from tidemark.operators.expectations import require_columns
@@ -23,7 +25,7 @@ TAXI_SCHEMA = (
     "VendorID int, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID int, "
     "DOLocationID int, total_amount double, fare_amount double, passenger_count bigint"
 )
-AT, LATER = datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 15)
+AT, LATER = datetime(2023, 8, 9), datetime(2023, 8, 9, 0, 22)
 
 
 def rows(df, *columns):
@@ -33,7 +35,7 @@ def rows(df, *columns):
 def test_csv_keeps_text_until_silver(spark, folder):
     raw = read_raw(spark, write_text(folder, "orders.CSV", ORDERS_CSV))
     assert {f.dataType.simpleString() for f in raw.schema.fields} == {"string"}
-    assert raw.count() == 9 and raw.where("customer_id IS NULL").count() == 1
+    assert raw.count() == 10 and raw.where("customer_id IS NULL").count() == 1
 
 
 def test_json_lines_are_recognised(spark, folder):
@@ -50,6 +52,35 @@ def test_json_document_and_json_lines(spark, folder):
     assert rows(document, "order_id", "amount") == rows(lines, "order_id", "amount") == [("o1", "1.5"), ("o2", "2")]
 
 
+def test_json_shapes(spark, folder):
+    pretty = json.dumps({"a": "1", "b": ["x"]}, indent=2)
+    assert read_raw(spark, write_text(folder, "one.json", pretty)).collect() == [("1", ["x"])]
+    assert read_raw(spark, write_text(folder, "flat.json", json.dumps([{"a": 1}, {"a": 2}]))).count() == 2
+
+
+def test_csv_files_of_unlike_headers_are_refused(spark, folder):
+    (Path(folder) / "in.csv").mkdir()
+    write_text(f"{folder}/in.csv", "1.csv", "order_id,amount\na,5\n")
+    write_text(f"{folder}/in.csv", "2.csv", "amount,order_id\n6,b\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, f"{folder}/in.csv").collect()
+
+
+def test_whole_number_times_ignore_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = spark.createDataFrame([(0,), (1_700_000_000_123_456,), (-1,)], "t bigint")
+        got = [r[0] for r in df.select(as_naive_timestamp(F.col("t"), T.LongType())).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [datetime(1970, 1, 1), datetime(2023, 11, 14, 22, 13, 20, 123456), datetime(1969, 12, 31, 23, 59, 59, 999999)]
+
+
+def test_ties_with_nested_maps(spark):
+    df = spark.sql("SELECT 'a' AS order_id, TIMESTAMP_NTZ '2024-01-01' AS updated_at, array(map('k', n)) AS extra FROM VALUES (1), (2) AS t(n)")
+    assert latest_per_order(df).collect() == latest_per_order(df.repartition(3)).collect()
+
+
 def test_unknown_suffix(spark):
     with pytest.raises(ValueError, match="Unsupported input type"):
         read_raw(spark, "orders.avro")
@@ -75,13 +106,13 @@ def test_unknown_shape(spark):
 
 
 def test_taxi_trip(spark):
-    df = spark.createDataFrame([(1, AT, LATER, 100, 200, 25.5, 20.0, 2)], TAXI_SCHEMA)
+    df = spark.createDataFrame([(6, AT, LATER, 31, 7, 18.75, 14.0, 3)], TAXI_SCHEMA)
     out, kind = adapt_to_canonical(df, "x")
     assert kind == "nyc_tlc_yellow_taxi" and out.columns == CANONICAL_COLUMNS
     (row,) = out.collect()
-    assert row.order_id == "trip_|1|2024-01-01 00:00:00.000000000|100|200"
-    assert (row.customer_id, row.category, row.product_id) == ("vendor_1", "vendor_1", "route_-100-200")
-    assert (row.order_ts, row.updated_at, row.amount, row.quantity) == (AT, LATER, 25.5, 2)
+    assert row.order_id == "trip_|6|2023-08-09 00:00:00.000000000|31|7"
+    assert (row.customer_id, row.category, row.product_id) == ("vendor_6", "vendor_6", "route_-31-7")
+    assert (row.order_ts, row.updated_at, row.amount, row.quantity) == (AT, LATER, 18.75, 3)
 
 
 def test_taxi_gaps(spark):
@@ -105,13 +136,13 @@ def test_taxi_gaps(spark):
 
 def test_taxi_text_and_missing_columns(spark):
     df = spark.createDataFrame(
-        [("1", "2024-01-01 00:00:00", "2024-01-01 00:15:00", "100", "200", "25.5", "2.0")],
+        [("6", "2023-08-09 00:00:00", "2023-08-09 00:22:00", "31", "7", "18.75", "3.0")],
         "VendorID string, tpep_pickup_datetime string, tpep_dropoff_datetime string, PULocationID string, "
         "DOLocationID string, total_amount string, passenger_count string",
     )
     (row,) = build_silver(adapt_to_canonical(df, "x")[0]).collect()
-    assert row.order_id == "trip_|1|2024-01-01 00:00:00|100|200"
-    assert (row.amount, row.quantity, row.order_ts) == (25.5, 2, AT)
+    assert row.order_id == "trip_|6|2023-08-09 00:00:00|31|7"
+    assert (row.amount, row.quantity, row.order_ts) == (18.75, 3, AT)
     bare = df.drop("total_amount", "passenger_count")
     (row,) = adapt_to_canonical(bare, "x")[0].collect()
     assert (row.amount, row.quantity) == (None, 1)
@@ -138,11 +169,11 @@ def test_stamp_names_the_file(spark, folder):
 
 def test_sample_orders(spark, folder):
     normal = normalize(read_raw(spark, write_text(folder, "orders.csv", ORDERS_CSV)))
-    assert valid_rows(normal).count() == 7
-    assert rows(quarantined_rows(normal), "order_id") == [("o4",), ("o5",)]
+    assert valid_rows(normal).count() == 8
+    assert rows(quarantined_rows(normal), "order_id") == [("A-13",), ("A-14",)]
     silver = latest_per_order(valid_rows(normal))
-    assert rows(silver.where("order_id = 'o2'"), "amount", "category") == [(22.0, "books")]
-    assert silver.count() == 6
+    assert rows(silver.where("order_id = 'A-11'"), "amount", "category") == [(31.0, "textile")]
+    assert silver.count() == 7
 
 
 def test_null_amounts_are_quarantined(spark):
@@ -218,7 +249,7 @@ def test_text_helpers(spark):
 
 def test_duration_ignores_the_session_zone(spark):
     df = spark.createDataFrame(
-        [(datetime(2024, 3, 10, 1, 0, 0, 900000), datetime(2024, 3, 10, 3, 30, 1)), (AT, datetime(2023, 12, 31, 23))],
+        [(datetime(2024, 3, 10, 1, 0, 0, 900000), datetime(2024, 3, 10, 3, 30, 1)), (AT, datetime(2023, 8, 8, 23))],
         "a timestamp_ntz, b timestamp_ntz",
     )
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
