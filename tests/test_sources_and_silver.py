@@ -55,7 +55,9 @@ def test_json_document_and_json_lines(spark, folder):
 def test_json_shapes(spark, folder):
     pretty = json.dumps({"a": "1", "b": ["x"]}, indent=2)
     assert read_raw(spark, write_text(folder, "one.json", pretty)).collect() == [("1", ["x"])]
-    assert read_raw(spark, write_text(folder, "flat.json", json.dumps([{"a": 1}, {"a": 2}]))).count() == 2
+    flat = json.dumps([{"a": 1}, {"a": 2}])
+    assert read_raw(spark, write_text(folder, "flat.json", flat)).count() == 2
+    assert read_raw(spark, write_text(folder, "two.json", f"{flat}\n{flat}\n")).count() == 4
 
 
 def test_csv_files_of_unlike_headers_are_refused(spark, folder):

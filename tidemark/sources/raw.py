@@ -40,10 +40,11 @@ def read_raw(
 
 
 def _has_json_lines(spark: SparkSession, path: str) -> bool:
-    """Whether the first line that isn't blank is a record by itself."""
+    """Whether the first line that isn't blank is a record, or an array of records, by itself."""
     lines = spark.read.text(path).where(F.trim("value") != "")
     # only the verdict comes to the driver, as a document may be one very long line
-    first = lines.select(F.json_object_keys(F.ltrim("value", F.lit("\ufeff"))).isNotNull()).first()
+    line = F.ltrim("value", F.lit("\ufeff"))
+    first = lines.select(F.json_object_keys(line).isNotNull() | F.json_array_length(line).isNotNull()).first()
     return first is not None and first[0]
 
 

@@ -64,12 +64,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("src_json_array", SOURCE_SQL)
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Array documents of about a thousand records each."""
+    """Array documents over many lines, one per file, of up to a thousand records each."""
     pin_utc(spark)
     source, path = views.table(spark, sf_dir, "orders"), scratch_path(spark, "orders.json")
     group = F.expr("o_orderkey div 4000")
-    documents = source.groupBy(group.alias("g")).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
-    documents.repartition(documents.count(), "g").select("value").write.option("lineSep", "\n").text(path)
+    documents = source.groupBy(group.alias("g")).agg(F.to_json(F.collect_list(F.struct("*")), {"pretty": "true"}).alias("value"))
+    documents.repartition("g").write.partitionBy("g").text(path)
     return _typed(read_raw(spark, path), source)
 
 
