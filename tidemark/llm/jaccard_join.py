@@ -22,8 +22,10 @@ set that is still apart from its bucket's leader is compared exactly with one le
 and links merge components; a bucket within one component is settled. In the
 buckets that are left, blocks of at most about BLOCK sets are compared within tasks
 by a finer parity sketch, of single bits, whose Hamming distance bounds the symmetric
-difference from below; only pairs of different components that pass are emitted and
-compared exactly. Pairs within a component need no comparison, so the components are exact.
+difference from below. Of the pairs of different components that pass, at first each two
+blocks emit a forest, nearest sets first, which is compared exactly and merges most of
+what links; then all pairs that pass and whose components still differ are compared.
+Pairs within a component need no comparison, so the components are exact.
 
 Defined cases: without a word (null or empty text) a document has no shingles and
 links with nothing; rows equal in text are one class; a null id joins its class but
@@ -183,8 +185,11 @@ def _sets(size: int, percent: int):
     return run
 
 
-def _near(sketches: list[bytes], n: np.ndarray, component: np.ndarray, side: np.ndarray, percent: int):
-    """Pairs of places whose components differ and whose sketches allow a link; sides, where two, are compared across."""
+def _near(sketches: list[bytes], n: np.ndarray, component: np.ndarray, side: np.ndarray, percent: int, forest: bool):
+    """Pairs of places whose components differ and whose sketches allow a link; sides, where two, are compared across.
+
+    With `forest`, each pair joins its components for those that follow, so there are fewer pairs than components.
+    """
     words = min(len(x) for x in sketches) // 8
     bits = np.stack([folded(np.frombuffer(x, np.uint64), words) for x in sketches])
     for i in range(len(n) - 1):
@@ -192,18 +197,26 @@ def _near(sketches: list[bytes], n: np.ndarray, component: np.ndarray, side: np.
         j = j[(component[j] != component[i]) & ((side[j] != side[i]) | (side[0] == side[-1]))]
         if len(j):
             apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
-            for k in j[apart <= difference(n[j] + n[i], 0, percent)]:
-                yield i, k
-
-
-def _candidates(percent: int):
+            passed = apart <= difference(n[j] + n[i], 0, percent)
+            near = j[passed]
+            if not forest:
+                yield from ((i, k) for k in near)
+                continue
+            near = near[np.argsort(apart[passed], kind="stable")]
+            while len(near):
+                yield i, near[0]
+                component[component == component[near[0]]] = component[i]
+                near = near[component[near] != component[i]]
+
+
+def _candidates(percent: int, forest: bool):
     """Rows come sorted by bucket and pair of blocks."""
 
     def pairs(rows: pa.Table) -> pa.RecordBatch:
         node, n, component, side = (rows.column(k).to_numpy() for k in ("node", "n", "component", "block"))
         order = np.argsort(side, kind="stable")
         sketches = rows.column("bits").to_pylist()
-        found = _near([sketches[i] for i in order], n[order].astype(np.int64), component[order], side[order], percent)
+        found = _near([sketches[i] for i in order], n[order].astype(np.int64), component[order], side[order], percent, forest)
         ends = np.array([(node[order[i]], node[order[j]]) for i, j in found], np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_pydict({"a": pa.array(ends.max(axis=1, initial=0)), "b": pa.array(ends.min(axis=1, initial=1 << 62))})
 
@@ -224,8 +237,11 @@ def _candidates(percent: int):
     return run
 
 
-def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets of different components in a bucket that their fine sketches let pass."""
+def _block_pairs(members: DataFrame, sets: DataFrame, percent: int, forest: bool = False) -> DataFrame:
+    """Pairs (a, b) of sets of different components in a bucket that their fine sketches let pass.
+
+    With `forest`, only as many in each pair of blocks as would join what all of them join.
+    """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     rows = members.join(materialize(sizes, "sizes"), "key").join(sets.select("node", "n", "bits"), "node")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
@@ -233,7 +249,7 @@ def _block_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     rows = rows.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
     rows = rows.select("key", "one", "two", "block", "node", "component", "n", "bits")
     rows = rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-    return rows.mapInArrow(_candidates(percent), "a bigint, b bigint").distinct()
+    return rows.mapInArrow(_candidates(percent, forest), "a bigint, b bigint").distinct()
 
 
 def _compare(percent: int):
@@ -296,6 +312,10 @@ def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         tested = tested.unionByName(_verified(best.select("pair.a", "pair.b").distinct(), sets, percent))
         labels = materialize(components(tested.where("linked").select("a", "b")), "labels")
     members = _open_buckets(members.select("key", "node"), labels)
+    joining = _block_pairs(members, sets, percent, forest=True).join(tested, ["a", "b"], "left_anti")
+    tested = tested.unionByName(_verified(joining, sets, percent))
+    labels = materialize(components(tested.where("linked").select("a", "b")), "labels")
+    members = _open_buckets(members.select("key", "node"), labels)
     rest = _block_pairs(members, sets, percent).join(tested, ["a", "b"], "left_anti")
     return tested.unionByName(_verified(rest, sets, percent)).where("linked").select("a", "b")
 
