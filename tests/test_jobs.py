@@ -267,3 +267,8 @@ def test_whole_job_full_then_incremental(spark, folder, monkeypatch):
     assert {r.category_sk for r in last.tables["fact_orders"].collect()} == {1, 2, 3, 4, 5}
     refreshed = run(spark, first, f"{folder}/out", incremental=True, full_refresh=True, reports=False)
     assert refreshed.silver_rows == 7 and refreshed.tables["fact_orders"].count() == 7
+
+    # tables of earlier runs can still be read, with keys that fit one another
+    assert {r.category_sk for r in more.tables["dim_category"].collect()} == {1, 2, 3, 4}
+    assert more.tables["dim_customer"].count() == fresh.tables["dim_customer"].count()
+    assert last.tables["fact_orders"].join(last.tables["dim_category"], ["category_sk"], "left_anti").isEmpty()

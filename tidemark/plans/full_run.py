@@ -133,7 +133,13 @@ def _stored_gold(spark: SparkSession, root: str, silver: State) -> dict[str, Dat
     state = fact.state()
     if state.version != silver.version:
         return None
-    return {name: spark.read.parquet(f"{root}/{name}") for name in star.DIMENSIONS} | {"fact_orders": fact.read(state)}
+    stored = {name: spark.read.parquet(path) for name, path in _dimension_paths(root, state.version).items()}
+    return stored | {"fact_orders": fact.read(state)}
+
+
+def _dimension_paths(root: str, version: str) -> dict[str, str]:
+    """Where the dimensions built from this version of Silver lie."""
+    return {name: f"{root}/{name}/version={version}" for name in star.DIMENSIONS}
 
 
 def _gold(
@@ -141,21 +147,23 @@ def _gold(
 ) -> dict[str, DataFrame]:
     """Bring the star in line with Silver and give its stored tables.
 
-    The fact carries the version of the Silver it was built from. Only the
-    changed days are rebuilt when it was in line before this run and no
-    category got another key.
+    The fact carries the version of the Silver it was built from, and that names
+    the folders of the dimensions too: its commit switches all of them over, and
+    readers of earlier ones are not disturbed. Only the changed days of the fact
+    are rebuilt when it was in line before this run and no category got another key.
     """
     spark = orders.sparkSession
     fact = Versions(spark, f"{root}/fact_orders")
     built_from = fact.state().version
     star_tables = star.build_star(orders)
-    paths = {name: f"{root}/{name}" for name in star_tables if name != "fact_orders"}
+    paths = _dimension_paths(root, silver_now.version)
     stored = {name: spark.read.schema(star_tables[name].schema) for name in paths}
     if built_from != silver_now.version:
         categories = star_tables["dim_category"]
         in_line = days is not None and built_from is not None and built_from == silver_was
         if in_line:
-            in_line = _same_rows(categories, stored["dim_category"].parquet(paths["dim_category"]))
+            before = _dimension_paths(root, built_from)["dim_category"]
+            in_line = _same_rows(categories, stored["dim_category"].parquet(before))
         first = [name for name in paths if name != "dim_vendor"]
         _at_once([partial(write_parquet, star_tables[name], paths[name]) for name in first])
         customers = stored["dim_customer"].parquet(paths["dim_customer"])
