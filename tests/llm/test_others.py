@@ -153,6 +153,26 @@ def test_embedding_forest(spark):
     assert embedding_forest.near_duplicates(frame.where(F.lit(False))).count() == 0
 
 
+def test_forest_keeps_the_links_of_a_large_group(spark):
+    """1,000 unlike vectors of pair cosine about 0.96, with and without others of their label: no random cut can part them."""
+    rng = np.random.default_rng(7)
+    unit = rng.normal(size=(1001, 32))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    group, others = unit[0] + unit[1:] * (1 / 0.96 - 1) ** 0.5, rng.normal(size=(1500, 32))
+    vectors = np.concatenate([group, group, others]).astype(np.float32)
+    labels = [0] * 1000 + [1] * 2500
+    rows = [(i, v.tolist(), k) for i, (v, k) in enumerate(zip(vectors, labels))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = {r.vec_id: r for r in embedding_forest.near_duplicates(frame, leaf_size=100).collect()}
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.93) & np.equal.outer(labels, labels)
+    counts = near.sum(axis=1) - 1
+    assert counts[:2000].min() > 900
+    assert [got[i].n_links for i in range(1000)] == counts[:1000].tolist()
+    assert sum(got[i].n_links for i in range(1000, 3500)) >= 0.999 * counts[1000:].sum()
+    assert all(got[i].n_links <= n for i, n in enumerate(counts))
+
+
 @pytest.mark.parametrize("name, label", [("op9_positive_unlabelled_quality", "quality"), ("op10_factorization_machine_toxicity", "toxic")])
 def test_scorers_on_held_out_rows(spark, name, label):
     sf_dir = "/root/testdata/sf0.1"
