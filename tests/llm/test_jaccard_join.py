@@ -69,6 +69,13 @@ def test_one_of_each(spark):
     assert J.one_of_each(frame.where(F.lit(False))).count() == 0
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    rows = [(1, "a b c d", "n", 1, 1), (1, "unlike words of its own", "n", 2, 1), (2, "A b c d", "n", 3, 1)]
+    rows += [(None, "x y z", "n", 4, 1), (None, "X y z", "n", 5, 1), (None, "x  y z", "n", 6, 1)]
+    got = sorted(r.text.lower().split()[0] for r in J.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == ["a", "unlike", "x"]
+
+
 def test_sketches_of_similar_sets_share_a_bucket():
     rng = np.random.default_rng(2)
     starts = np.array(J.bands(5000))

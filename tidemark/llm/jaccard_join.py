@@ -334,6 +334,13 @@ def _among(rows: DataFrame, wanted: DataFrame, key: list[str]) -> DataFrame:
     return marked.where(F.getbit(byte, (F.col("place") % 8).cast("int")) == 1).select(*rows.columns)
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = packed(docs, text_col, id=id_col).withColumn("id", F.col("id").cast("bigint"))
+    return rows.select(
+        F.coalesce("id", F.lit(0).cast("bigint")).alias("uid"), F.xxhash64("id", "text").alias("text_key"), "id", "text", "rest"
+    )
+
+
 def similar_documents(
     docs: DataFrame,
     size: int = SHINGLE,
@@ -343,16 +350,13 @@ def similar_documents(
     most_parts: int | None = None,
 ) -> DataFrame:
     """Each row's id, n_shingles and component_id; text, uid, text_key and "rest" go along."""
-    rows = packed(docs, text_col, id=id_col).withColumn("id", F.col("id").cast("bigint"))
-    rows = rows.select(
-        F.coalesce("id", F.lit(0).cast("bigint")).alias("uid"), F.xxhash64("id", "text").alias("text_key"), "id", "text", "rest"
-    )
-    classes = similar_classes(rows, size, percent, most_parts)
+    rows = _keyed(docs, id_col, text_col)
+    classes = similar_classes(rows, size, percent, most_parts).drop("component", "place")
     return rows.join(classes, ["uid", "text_key"], "left")
 
 
 def similar_classes(rows: DataFrame, size: int, percent: int, most_parts: int | None = None) -> DataFrame:
-    """One row per (uid, text_key): n_shingles and component_id."""
+    """One row per (uid, text_key): n_shingles, component_id, the component's node and a place to order its rows by."""
     sketches = rows.select("uid", "text_key", "id", "text").mapInArrow(_sketches(size, percent, most_parts), SKETCHES)
     sketches = materialize(sketches.withColumn("row", F.monotonically_increasing_id()), "sketches")
     docs = sketches.select("uid", "text_key", "id", "n", "one", "two", "row")
@@ -375,7 +379,7 @@ def similar_classes(rows: DataFrame, size: int, percent: int, most_parts: int |
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialize(
-        named.join(materialize(names, "names"), "component").select("n", "one", "two", "component_id"), "named"
+        named.join(materialize(names, "names"), "component").select("n", "one", "two", "component", "component_id"), "named"
     )
     return (
         docs.join(named, ["n", "one", "two"], "left")
@@ -383,6 +387,8 @@ def similar_classes(rows: DataFrame, size: int, percent: int, most_parts: int |
         .agg(
             F.max(F.col("n").cast("bigint")).alias("n_shingles"),
             F.min(F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))).alias("component_id"),
+            F.min("component").alias("component"),
+            F.min(F.struct(F.col("id").isNull().alias("nameless"), "uid", "text_key")).alias("place"),
         )
     )
 
@@ -395,14 +401,16 @@ def one_of_each(
     text_col: str = "text",
     most_parts: int | None = None,
 ) -> DataFrame:
-    """The documents, one of each component: the row of its id. Of rows equal in id and text one stays.
+    """The documents, one of each component: a row of its id, or one without where none has an id. Of rows equal in id and text one stays.
 
-    Documents without a word stay. Rows without an id stay unless their component has one.
+    Documents without a word stay.
     """
-    rows = similar_documents(docs, size, percent, id_col, text_col, most_parts)
-    stays = (F.col("n_shingles") == 0) | F.col("component_id").isNull() | F.col("id").eqNullSafe(F.col("component_id"))
-    stay = rows.where(stays)
-    once = stay.where((F.col("n_shingles") > 0) & F.col("id").isNotNull())
-    turn = Window.partitionBy("uid").orderBy("text_key")
-    once = once.withColumn("turn", F.row_number().over(turn)).where("turn = 1").drop("turn")
-    return unpacked(once.unionByName(stay.where((F.col("n_shingles") == 0) | F.col("id").isNull())), docs.columns, text_col)
+    rows, key = _keyed(docs, id_col, text_col), ["uid", "text_key"]
+    classes = materialize(similar_classes(rows, size, percent, most_parts), "row_classes")
+    first = classes.where("n_shingles > 0").groupBy("component").agg(F.min("place").alias("place"))
+    first = first.select("place.uid", "place.text_key", F.lit(True).alias("once"))
+    stay = first.unionByName(classes.where("n_shingles = 0").select(*key, F.lit(False).alias("once")))
+    rows = rows.join(materialize(stay, "stay"), key)
+    turn = Window.partitionBy(*key).orderBy("text_key")
+    once = rows.where("once").withColumn("turn", F.row_number().over(turn)).where("turn = 1").drop("turn")
+    return unpacked(once.unionByName(rows.where("not once")), docs.columns, text_col)
