@@ -19,6 +19,7 @@ from tidemark.llm import (
     toxicity,
     url_rules,
     warc,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,8 @@ def op2_loser_tree_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_merge(pages).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "place"
     )
+
+
+@query
+def op11_mixed_precision_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
