@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    class_ngrams,
     embedding_forest,
     jaccard_join,
     mixing,
@@ -102,3 +103,8 @@ def op2_loser_tree_warc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_mixed_precision_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op12_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_ngrams.score(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -108,7 +108,7 @@ class Words:
     def __len__(self) -> int:
         return len(self.start)
 
-    def hashes(self, prefix: int | None = None) -> np.ndarray:
+    def hashes(self, prefix: int | None = None, family: int = 0) -> np.ndarray:
         """A 64-bit hash of each word, or of no more than its first bytes."""
         out = np.empty(len(self), np.uint64)
         at = 0
@@ -121,7 +121,7 @@ class Words:
             gap = _space[part] if prefix is None else _space[part] | (place >= prefix)
             size = size if prefix is None else np.minimum(size, prefix)
             place[gap] = 0
-            value = _BYTE[part] * powers(_BASES[0], int(place.max()) + 1)[place]
+            value = _BYTE[part] * powers(_BASES[family], int(place.max()) + 1)[place]
             value[gap] = 0
             out[at:to] = mix(np.add.reduceat(value, start) + size.astype(np.uint64))
             at = to
