@@ -51,7 +51,7 @@ FOLDS, HELD_OUT = 7, 2
 CLASSES = 32  # the first is the end's
 UNKNOWN = CLASSES
 ROUNDS = 4
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 ENTRIES = 1_000_000
 CONTEXT = 16.0  # tokens that the share of unknown words over all counts as, in the share after a class
 CELLS = 2 * CLASSES  # a word's neighbours: the class before, the class after
@@ -324,9 +324,13 @@ def _pieces(seeds: dict[bytes, int], buckets: int, half: int):
         stream = chunk.stream(~chunk.held)
         classes = chunk.classes[stream]
         some = np.flatnonzero(moving[stream])  # the last token is an end, so each of these has a next one
-        token = stream[some].astype(np.int64) * CELLS
-        before, after = _before(classes)[0][some], classes[np.minimum(some + 1, max(0, len(classes) - 1))]
-        keys, n = np.unique(np.concatenate([token + before, token + (CLASSES + after.astype(np.int64))]), return_counts=True)
+        keys = np.empty((2, len(some)), np.int32 if chunk.end * CELLS < 1 << 31 else np.int64)
+        keys[:] = stream[some]
+        keys *= CELLS
+        keys[0] += _before(classes)[0][some]
+        keys[1] += CLASSES + classes[some + 1].astype(keys.dtype)
+        del stream, some, classes
+        keys, n = np.unique(keys, return_counts=True)
         of, cell, n = keys // CELLS, (keys % CELLS).astype(np.uint8), n.astype(np.uint32)
         per_word = np.bincount(of, minlength=chunk.end + 1).astype(np.uint8)
         names, rows = ["bucket", "chunk", "word", "class", "cells", "cell", "n"], []
