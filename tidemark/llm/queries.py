@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    block_search,
     class_ngrams,
     embedding_forest,
     jaccard_join,
@@ -108,3 +109,12 @@ def op11_mixed_precision_whitening(spark: SparkSession, sf_dir: str) -> DataFram
 @query
 def op12_brown_class_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_ngrams.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op13_geometric_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return block_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+ORACLE_SQL["op13_geometric_block_search"] = block_search.ORACLE_SQL
