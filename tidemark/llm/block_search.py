@@ -8,7 +8,7 @@ taken in sets of about ITEMS, and only lists of terms that some item holds are b
   terms; the document counts follow from it. Nothing is left out.
 * Documents are projected to DIRECTIONS random directions by their impacts and sorted by
   the signs there (and by a number of their own, so that copies can be split), then cut
-  into shards of SHARD documents.
+  into shards of SHARD documents, or fewer where the set has many terms.
 * Within a shard every term's list is cut into blocks: as many members as there are blocks
   of BLOCK documents are the centres, and each document joins the most similar one. A block's
   summary is the largest impact of each term in any of its documents.
@@ -52,8 +52,8 @@ SHARD = 4096
 BLOCK = 64
 DIRECTIONS = 16
 PILOT = 20_000
-CELLS = 1 << 22  # of summaries at a time
-PAIRS = 1 << 17  # documents scored at a time
+CELLS = 1 << 23  # documents times terms, of a shard
+ROUNDING = 1 + 1e-9  # more than sums of doubles can err
 
 _term = np.full(256, 0x20, np.uint8)
 for _b in [*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]:
@@ -217,108 +217,94 @@ def blocks_of(doc: np.ndarray, ends: np.ndarray, points: np.ndarray, block: int
 
 
 class Shard:
-    """Documents with their posting lists, searched for all items of a set."""
+    """Documents with their posting lists, searched for all items of a set.
+
+    held has a row per document and a column per term; its whole numbers, and their sums
+    over an item's terms, are exact as doubles up to 2 ** 53.
+    """
 
     def __init__(self, ends: np.ndarray, term: np.ndarray, value: np.ndarray, terms: int, block: int = BLOCK):
-        self.ends, self.term, self.value, self.terms = ends, term, value, terms
         docs = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        self.held = np.zeros((len(ends) - 1, terms))
+        self.held[docs, term] = value
         order = np.argsort(term, kind="stable")
-        lists = np.searchsorted(term[order], np.arange(terms + 1))
-        points = project(ends, term, value, _directions(terms))
-        number = blocks_of(docs[order], lists, points, block)
+        self.lists = np.searchsorted(term[order], np.arange(terms + 1))
+        number = blocks_of(docs[order], self.lists, project(ends, term, value, _directions(terms)), block)
         by = np.argsort(number, kind="stable")  # a term's blocks lie together, in order of term
         self.doc, number = docs[order][by], number[by]
-        begins = np.flatnonzero(np.append(True, np.diff(number) > 0)[: len(number)])
-        self.edge = np.append(begins, len(number))
-        self.block_term = term[order][by][begins]
-        self.largest = np.zeros(terms, np.int64)
-        np.maximum.at(self.largest, term, value)
+        self.edge = np.append(np.flatnonzero(np.append(True, np.diff(number) > 0)[: len(number)]), len(number))
+        self.first = np.searchsorted(self.edge, self.lists)  # each term's first block
+        self.largest = self.held.max(0, initial=0)
         self.scored = 0
 
-    def _expanded(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in docs, term, impact) of all their terms."""
-        size = self.ends[docs + 1] - self.ends[docs]
-        at = np.repeat(self.ends[docs] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        return np.repeat(np.arange(len(docs)), size), self.term[at], self.value[at]
+    def _summaries(self, lo: int, hi: int, columns: np.ndarray) -> np.ndarray:
+        """The largest impacts of some terms in each of the blocks from lo to hi."""
+        out, step = np.empty((hi - lo, len(columns))), max(1, CELLS // (2 * len(columns)))
+        while lo < hi:
+            to = max(lo + 1, min(hi, int(np.searchsorted(self.edge, self.edge[lo] + step, "right")) - 1))
+            rows, at = self.doc[self.edge[lo] : self.edge[to]], self.edge[lo:to] - self.edge[lo]
+            out[len(out) - (hi - lo) : len(out) - (hi - to)] = np.maximum.reduceat(self.held[np.ix_(rows, columns)], at, 0)
+            lo = to
+        return out
 
     def bounds(self, has: np.ndarray, asks: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(block, item, bound) where the bound isn't below the item's floor; asks: which lists an item reads."""
-        found: list[tuple[np.ndarray, ...]] = []
-        wanted = np.flatnonzero(asks[self.block_term].any(1))
-        step = max(1, CELLS // max(1, self.terms))
-        # float32 sums of m numbers err by less than m units in the last place
-        slack = 1 + (has.sum(0).max(initial=0) + 8) * 1.2e-7
-        for lo in range(0, len(wanted), step):
-            some = wanted[lo : lo + step]
-            sizes = self.edge[some + 1] - self.edge[some]
-            at = np.repeat(self.edge[some] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-            row = np.repeat(np.arange(len(some)), sizes)
-            summary = np.zeros(len(some) * self.terms, np.float32)
-            for a in range(0, len(at), PAIRS):
-                place, term, value = self._expanded(self.doc[at[a : a + PAIRS]])
-                np.maximum.at(summary, row[a : a + PAIRS][place] * self.terms + term, value.astype(np.float32))
-            items = np.flatnonzero(asks[self.block_term[some]].any(0))
-            most = (summary.reshape(len(some), self.terms) @ has[:, items]) * slack
-            ok = (most >= floor[items]) & (most > 0) & asks[self.block_term[some]][:, items]
-            r, c = np.nonzero(ok)
-            found.append((some[r], items[c], most[r, c]))
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for t in np.flatnonzero(asks.any(1) & (np.diff(self.lists) > 0)):
+            items = np.flatnonzero(asks[t])
+            columns = np.flatnonzero(has[:, items].any(1))
+            most = self._summaries(self.first[t], self.first[t + 1], columns) @ has[np.ix_(columns, items)].astype(float)
+            r, c = np.nonzero(most * ROUNDING >= np.maximum(floor[items], 1))
+            found.append((r + self.first[t], items[c], most[r, c] * ROUNDING))
         return tuple(np.concatenate(x) for x in zip(*found))
 
-    def score(self, block: np.ndarray, item: np.ndarray, has: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item * docs + doc, score) of the documents in those blocks, without those known already."""
-        n = len(self.ends) - 1
-        sizes = self.edge[block + 1] - self.edge[block]
-        at = np.repeat(self.edge[block] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        keys = np.unique(np.repeat(item, sizes) * n + self.doc[at])
-        keys = keys[~np.isin(keys, known, assume_unique=True)]
-        self.scored += len(keys)
-        out = np.zeros(len(keys), np.int64)
-        for lo in range(0, len(keys), PAIRS):
-            part = keys[lo : lo + PAIRS]
-            place, term, value = self._expanded(part % n)
-            value = np.where(has[term, (part // n)[place]] > 0, value, 0)
-            out[lo : lo + len(part)] = np.add.reduceat(value, np.searchsorted(place, np.arange(len(part))))
-        return keys, out
-
     def search(self, items: Items, floor: np.ndarray, ids: np.ndarray, top: int = TOP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(item, document, score): an item's best documents here, of at least its floor; ids: by which ties go."""
-        n, count = len(self.ends) - 1, len(items)
+        count = len(items)
         item_of = np.repeat(np.arange(count), np.diff(items.first))
-        has = np.zeros((self.terms, count), np.float32)
-        has[items.terms, item_of] = 1
+        has = np.zeros((self.held.shape[1], count), bool)
+        has[items.terms, item_of] = True
         # an item's terms by their largest impact: those whose sum stays below its floor needn't be looked up
         most = self.largest[items.terms]
         order = np.lexsort((most, item_of))
         running = np.cumsum(most[order])
         running = running - np.repeat(np.append(0, running)[items.first[:-1]], np.diff(items.first))
-        needed = order[(running >= floor[item_of[order]]) & (running > 0)]
-        asks = np.zeros((self.terms, count), bool)
+        needed = order[(running * ROUNDING >= floor[item_of[order]]) & (running > 0)]
+        asks = np.zeros_like(has)
         asks[items.terms[needed], item_of[needed]] = True
         block, item, bound = self.bounds(has, asks, floor)
         order = np.lexsort((-bound, item))
-        block, item, bound = block[order], item[order], bound[order]
-        rank = np.arange(len(item)) - np.searchsorted(item, item)
-        floor, keys, scores = floor.copy(), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for at in (rank < 2, (rank >= 2) & (rank < 8), rank >= 8):  # the most promising blocks first
-            at = at & (bound >= floor[item])
-            more, points = self.score(block[at], item[at], has, keys)
-            keys, scores = np.concatenate([keys, more]), np.concatenate([scores, points])
-            keep = (scores > 0) & (scores >= floor[keys // max(1, n)])
-            keys, scores = keys[keep], scores[keep]
-            order = np.lexsort((ids[keys % max(1, n)], -scores, keys // max(1, n)))
-            keys, scores = keys[order], scores[order]
-            of = keys // max(1, n)
-            rank_of = np.arange(len(of)) - np.searchsorted(of, of)
-            last = rank_of == top - 1
-            floor[of[last]] = np.maximum(floor[of[last]], scores[last])
-            # documents past the last stay known until the end, as other blocks may hold them too
-        best = rank_of < top
-        return of[best], keys[best] % max(1, n), scores[best]
+        block, bound, at = block[order], bound[order], np.searchsorted(item[order], np.arange(count + 1))
+        found = [(np.zeros(0, np.int64),) * 3]
+        for i in range(count):
+            doc, score = self._best(block[at[i] : at[i + 1]], bound[at[i] : at[i + 1]], items.terms[items.first[i] : items.first[i + 1]], floor[i], ids, top)
+            found.append((np.full(len(doc), i), doc, score))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _best(self, block: np.ndarray, bound: np.ndarray, terms: np.ndarray, floor: int, ids: np.ndarray, top: int):
+        """An item's best documents; its blocks come by falling bound."""
+        seen = np.zeros(len(self.held), bool)
+        doc, score = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lo, step = 0, 2
+        while lo < len(block) and bound[lo] >= floor:  # the most promising blocks first
+            part = block[lo : lo + step][bound[lo : lo + step] >= floor]
+            new = np.unique(np.concatenate([self.doc[self.edge[b] : self.edge[b + 1]] for b in part]))
+            new = new[~seen[new]]
+            seen[new] = True
+            self.scored += len(new)
+            points = self.held[np.ix_(new, terms)].sum(1).astype(np.int64)
+            keep = points >= max(floor, 1)
+            doc, score = np.append(doc, new[keep]), np.append(score, points[keep])
+            order = np.lexsort((ids[doc], -score))[:top]
+            doc, score = doc[order], score[order]
+            floor = max(floor, int(score[-1])) if len(score) == top else floor
+            lo, step = lo + step, step * 2
+        return doc, score
 
 
 def _searched(items: Items, floor: np.ndarray, shard: int, block: int, top: int):
+    shard = min(shard, max(1, CELLS // max(1, len(items.hashes))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
