@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -15,6 +17,7 @@ from tokenizers import Tokenizer
 from tests.compare import connect, differences
 from tests.llm import brute
 from tidemark.llm import embedding_forest, mixing, packing, pu_quality, queries, tokens, toxicity, url_rules, warc
+from tidemark.llm import words as W
 from tidemark.session import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -200,3 +203,41 @@ def test_pairs_need_factors():
     doc, term = np.nonzero(x)
     machine = toxicity.fit(doc, term, insult ^ group ^ 1, np.array([5, 9]))
     assert ((machine.logits(doc, term, 2000) > 0) == (insult == group)).mean() == 1
+
+
+def test_pairs_are_found_in_texts(spark):
+    """Neither term tells anything alone, so only their pair can have brought them in."""
+    rng = np.random.default_rng(4)
+    rows, labels = [], []
+    for i in range(3000):
+        insult, group = rng.integers(0, 2, 2)
+        words = [f"w{k}" for k in rng.integers(0, 300, 12)] + ["insult"] * insult + ["people"] * group
+        rows.append((i, " ".join(rng.permutation(words))))
+        labels.append((i, int(insult == group)))
+    docs, known = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    machine = toxicity.train(docs, known)
+    got = toxicity.score(docs, machine).collect()
+    held = [(r.predicted, labels[r.doc_id][1]) for r in got if r.held_out]
+    assert len(held) > 500 and np.mean([a == b for a, b in held]) >= 0.95
+    # the score is the sum over pairs, written out
+    for i in range(20):
+        own = set(toxicity.terms(*W.text_bytes(pa.array([rows[i][1]])), 0, 1)[1].tolist())
+        at = [k for k, b in enumerate(machine.buckets) if b in own]
+        logit = machine.bias + sum(machine.weights[k] for k in at)
+        logit += sum(float(machine.factors[a] @ machine.factors[b]) for k, a in enumerate(at) for b in at[k + 1 :])
+        assert next(r.score for r in got if r.doc_id == i) == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-9)
+
+
+def test_held_out_labels_are_not_learned(spark):
+    rows = [(i, f"{'vile' if i % 2 else 'kind'} a{i % 7} b{i % 5}") for i in range(400)] + [(i, "kind") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    held = {i for i in range(400) if zlib.crc32(str(i).encode()) % 3 == 1}
+    scores = []
+    for flipped in (0, 1):
+        labels = [(i, (i % 2) ^ (flipped if i in held else 0)) for i in range(400)] + [(1, None)]
+        labels += [(2, 1), (2, 0)]  # disagree
+        known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+        got = toxicity.score(docs, toxicity.train(docs, known)).collect()
+        scores.append(sorted((r.doc_id, r.score) for r in got))
+        assert len(got) == len(rows)
+    assert scores[0] == scores[1]

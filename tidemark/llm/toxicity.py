@@ -1,19 +1,26 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A term is a lower-cased run of ASCII letters, digits and other bytes beyond
-0x7F, or its first bytes, hashed to BUCKETS. Training reads a bounded sample of labelled documents outside
-the held-out fold: terms whose document frequencies in the two classes differ
-most (a bounded number) become the machine's inputs, and a second-order
-factorization machine
+0x7F, or its first PREFIXES bytes (inflected forms share those), hashed to BUCKETS. Training
+reads a bounded sample of labelled documents outside the held-out fold. The machine's inputs are
+
+* up to INPUTS terms whose document frequencies in the two classes differ most (by more than
+  LEAST standard errors, in LEAST_DOCS documents of the sample or more), and
+* the terms of up to PAIRS pairs whose covariance differs most between the classes (by more than
+  LEAST_PAIRED standard errors), among the PAIRED terms whose presence varies most: such a
+  term may tell nothing by itself.
+
+A second-order factorization machine
 
     w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2),  x_i in {0, 1}
 
-is fitted to them by Adam on the weighted logistic loss. The pairwise part lets
+is fitted to them by Adam on the logistic loss. The pairwise part lets
 an insult count differently beside a mention of a group than alone, which
-additive weights cannot. Scores are of whole texts, in one pass without a shuffle.
+additive weights cannot. Scores are of whole texts, in one pass without a shuffle, and only
+the text goes to Python.
 
 Defined cases: null and empty texts have no terms and score sigmoid(w0); repeated
-rows score alike; without usable labels every score is 0; labels that disagree for
+rows score alike; without labels of both classes every score is 0; labels that disagree for
 an id, or are null, are not learned from.
 """
 
@@ -24,16 +31,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words as W
 from tidemark.llm.labelled import SAMPLE_ROWS, fold, sample
-from tidemark.llm.rows import column, packed, unpacked
+from tidemark.llm.rows import column
 
 BUCKETS = 1 << 18
-INPUTS = 400
+INPUTS, LEAST, LEAST_DOCS = 400, 3.0, 5
+PAIRED, PAIRS, LEAST_PAIRED = 1000, 100, 6.0
 FACTORS = 8
+SLICE_BYTES = 1 << 20
 PREFIXES = (4, 5)  # bytes
 FOLDS, HELD_OUT = 3, 1
 LIMIT = 0.7
@@ -80,9 +89,40 @@ def choose(seen: np.ndarray, n: np.ndarray, inputs: int = INPUTS) -> np.ndarray:
     """The buckets whose document frequencies differ most; seen and n: by class, of buckets and of documents."""
     rate, both = (seen + 0.5) / (n[:, None] + 1), (seen.sum(0) + 1) / (n.sum() + 2)
     z = np.abs(rate[1] - rate[0]) / np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
-    z[seen.sum(0) < 5] = 0
+    z[seen.sum(0) < LEAST_DOCS] = 0
     best = np.argsort(-z, kind="stable")[:inputs]
-    return np.sort(best[z[best] > 3])
+    return np.sort(best[z[best] > LEAST])
+
+
+def varied(seen: np.ndarray, n: np.ndarray, most: int = PAIRED) -> np.ndarray:
+    """The buckets whose presence varies most."""
+    share = seen.sum(0) / n.sum()
+    best = np.argsort(-share * (1 - share), kind="stable")[:most]
+    return np.sort(best[(share[best] > 0) & (share[best] < 1)])
+
+
+def paired(doc: np.ndarray, term: np.ndarray, label: np.ndarray, terms: int, most: int = PAIRS) -> np.ndarray:
+    """The terms of the pairs whose covariance differs most between the classes."""
+    if terms == 0:
+        return np.zeros(0, np.int64)
+    covariance, n, spread = [], [], []
+    for cls in (0, 1):
+        mine = np.flatnonzero(label == cls)
+        row = np.full(len(label), -1)
+        row[mine] = np.arange(len(mine))
+        have = row[doc] >= 0
+        x = np.zeros((len(mine), terms), np.float32)
+        x[row[doc[have]], term[have]] = 1
+        rate = x.mean(0, dtype=float)
+        covariance.append(x.T @ x / len(mine) - np.outer(rate, rate))
+        n.append(len(mine))
+        spread.append((rate, len(mine)))
+    rate = sum(r * k for r, k in spread) / sum(n)
+    scale = np.sqrt(np.outer(rate * (1 - rate), rate * (1 - rate)) * (1 / n[0] + 1 / n[1]))
+    z = np.triu(np.abs(covariance[1] - covariance[0]) / np.maximum(scale, 1e-12), 1)
+    best = np.argsort(-z, axis=None, kind="stable")[:most]
+    best = best[z.ravel()[best] > LEAST_PAIRED]
+    return np.unique(np.concatenate(np.unravel_index(best, z.shape)))
 
 
 def fit(doc, term, label, buckets, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> Machine:
@@ -113,7 +153,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, off = W.text_bytes(batch.column("text"))
         label = batch.column("label").to_numpy()
-        for lo, hi in W.slices(off):
+        for lo, hi in W.slices(off, SLICE_BYTES):
             doc, bucket = terms(data, off, lo, hi)
             toxic = label[lo:hi] == 1
             all_, ones = np.bincount(bucket, minlength=BUCKETS), np.bincount(bucket[toxic[doc]], minlength=BUCKETS)
@@ -126,7 +166,7 @@ def _inputs(buckets: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = W.text_bytes(batch.column("text"))
-            for lo, hi in W.slices(off):
+            for lo, hi in W.slices(off, SLICE_BYTES):
                 doc, term = _held(*terms(data, off, lo, hi), buckets)
                 ends = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int32)))
@@ -163,40 +203,47 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: in
     n[:] = [(every - ones)[~real].sum(), ones[~real].sum()]
     if n.min() == 0:
         return None
-    buckets = choose(seen, n)
+    single, candidates = choose(seen, n), varied(seen, n)
+    buckets = np.union1d(single, candidates)
     got = texts.mapInArrow(_inputs(buckets), "label int, terms array<int>").toArrow()
     lists, label = got.column("terms").combine_chunks(), got.column("label").to_numpy()
-    doc = np.repeat(np.arange(len(label)), np.diff(lists.offsets.to_numpy()))
-    return fit(doc, lists.flatten().to_numpy().astype(np.int64), label, buckets)
+    doc, term = np.repeat(np.arange(len(label)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+    bucket = buckets[term]
+    have = np.isin(bucket, candidates)
+    pairs = candidates[paired(doc[have], np.searchsorted(candidates, bucket[have]), label, len(candidates))]
+    chosen = np.union1d(single, pairs)
+    have = np.isin(bucket, chosen)
+    return fit(doc[have], np.searchsorted(chosen, bucket[have]), label, chosen)
 
 
-def _scores(machine: Machine | None):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, off = W.text_bytes(batch.column("text"))
-            for lo, hi in W.slices(off):
-                score = np.zeros(hi - lo)
-                if machine is not None:
-                    doc, term = _held(*terms(data, off, lo, hi), machine.buckets)
-                    score = sigmoid(machine.logits(doc, term, hi - lo))
-                part = batch.slice(lo, hi - lo)
-                columns = {k: part.column(k) for k in part.schema.names if k != "text" or "rest" in part.schema.names}
-                yield pa.RecordBatch.from_pydict(columns | {"score": pa.array(score)})
+def _of_texts(machine: Machine | None, texts: pa.Array) -> np.ndarray:
+    """The score of each text."""
+    data, off = W.text_bytes(texts)
+    out = np.zeros(len(texts))
+    if machine is not None:
+        for lo, hi in W.slices(off, SLICE_BYTES):
+            doc, term = _held(*terms(data, off, lo, hi), machine.buckets)
+            out[lo:hi] = sigmoid(machine.logits(doc, term, hi - lo))
+    return out
 
-    return run
+
+def _scored(text: Column, machine: Machine | None) -> Column:
+    """The score as a column; the other columns of the frame stay where they are."""
+
+    @F.arrow_udf("double")
+    def toxicity(texts: pa.Array) -> pa.Array:
+        return pa.array(_of_texts(machine, texts))
+
+    return toxicity(text.cast("string"))
 
 
 def score(docs: DataFrame, machine: Machine | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    rows = docs.select(column(docs, id_col).cast("bigint").alias("doc_id"), column(docs, text_col).cast("string").alias("text"))
-    got = rows.mapInArrow(_scores(machine), "doc_id bigint, score double")
+    got = docs.select(column(docs, id_col).cast("bigint").alias("doc_id"), _scored(column(docs, text_col), machine).alias("score"))
     held, above = fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.col("score") >= LIMIT
     return got.select("doc_id", held.alias("held_out"), "score", above.cast("int").alias("predicted"))
 
 
 def harmless(docs: DataFrame, machine: Machine | None, text_col: str = "text") -> DataFrame:
     """The documents that score below the limit, with their columns."""
-    rows = packed(docs, text_col)
-    rest = rows.schema["rest"].dataType.simpleString()
-    got = rows.mapInArrow(_scores(machine), f"text string, rest {rest}, score double")
-    return unpacked(got.where(F.col("score") < LIMIT), docs.columns, text_col)
+    return docs.where(_scored(column(docs, text_col), machine) < LIMIT)
