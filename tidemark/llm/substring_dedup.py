@@ -209,14 +209,15 @@ def parse(
         .where("n > 1")
         .select("anchor", "varied")
     )
-    shared = materialize(blocks.join(again, "anchor"), "shared")
+    # stored before it is joined, so that the join with a very common anchor can be split
+    shared = materialize(blocks.join(materialize(again, "again"), "anchor"), "shared")
     # under anchors with one block only, every occurrence of the block recurs
     whole = shared.where(~F.col("varied")).select(*KEY, "start", "windows")
     varied = shared.where("varied")
     distinct = varied.groupBy("anchor", "block").agg(
         F.count("*").alias("times"), F.min(F.struct(*KEY, "start", "windows")).alias("at")
     )
-    often = distinct.where("times > 1").select("anchor", "block")
+    often = materialize(distinct.where("times > 1").select("anchor", "block"), "often")
     whole = whole.unionByName(varied.join(often, ["anchor", "block"], "left_semi").select(*KEY, "start", "windows"))
     asked = (
         distinct.select("at.*", "anchor", "times")
