@@ -6,6 +6,7 @@ import math
 import random
 import zlib
 from collections import defaultdict
+from decimal import Decimal
 
 import numpy as np
 import public_tokenizers
@@ -241,3 +242,33 @@ def test_held_out_labels_are_not_learned(spark):
         scores.append(sorted((r.doc_id, r.score) for r in got))
         assert len(got) == len(rows)
     assert scores[0] == scores[1]
+
+
+def test_forest_compares_labels_of_any_type(spark):
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(4, 8))
+    cases = {
+        "double": [1.2, 1.4, 1.2, 0.0, -0.0, None],
+        "string": ["a b", "a  b", "a b", "é", "é", None],
+        "bigint": [1 << 40, (1 << 40) + 1, 1 << 40, -5, -5, None],
+        "decimal(10,2)": [Decimal("1.20"), Decimal("1.21"), Decimal("1.20"), Decimal("0"), Decimal("0"), None],
+    }
+    for kind, labels in cases.items():
+        rows = [(i, vectors[0].tolist(), label) for i, label in enumerate(labels)]
+        frame = spark.createDataFrame(rows, f"vec_id bigint, embedding array<double>, label {kind}")
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_forest.near_duplicates(frame).collect()}
+        assert got == {0: (1, 0, True), 1: (0, 1, True), 2: (1, 0, False), 3: (1, 3, True), 4: (1, 3, False), 5: (0, 5, True)}
+
+
+def test_forest_query_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    fine = [r for r in rows if r.embedding is not None and r.label is not None and None not in r.embedding]
+    unit = np.array([r.embedding for r in fine], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.93) & np.equal.outer([r.label for r in fine], [r.label for r in fine])
+    np.fill_diagonal(near, False)
+    links = [(fine[a].vec_id, fine[b].vec_id) for a, b in zip(*np.nonzero(near))]
+    component = brute.components([r.vec_id for r in rows], links)
+    count = {r.vec_id: 0 for r in rows} | {r.vec_id: int(n) for r, n in zip(fine, near.sum(1))}
+    got = queries.op7_projection_tree_forest(spark, SF).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (count[i], component[i]) for i in count}

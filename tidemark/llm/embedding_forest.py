@@ -23,7 +23,8 @@ Equal vectors of a label form one class that takes part once, with its size.
 
 Defined cases: a vector that is null, zero, or holds null or non-finite numbers,
 or whose label is null, links with nothing and is its own component (null if its
-id is null); repeated rows are linked copies; other columns do not matter.
+id is null); repeated rows are linked copies; labels of any type are compared as they
+are; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import components
 from tidemark.llm.rows import column
@@ -154,7 +156,7 @@ def _leaves(vectors: DataFrame, trees: int, leaf_size: int, spill: float, cosine
         held = places.join(large, key)
         lists = held.groupBy("node").agg(F.collect_list("leaf").alias("leaves"))
         rows = vectors.join(lists, "node").select("node", "label", "dim", "vector", "leaves")
-        found = rows.mapInArrow(_projections, "node bigint, label int, dim int, leaf bigint, projection double")
+        found = rows.mapInArrow(_projections, "node bigint, label string, dim int, leaf bigint, projection double")
         # equal projections are told apart by a hash, so that every split makes progress
         nudge = F.pmod(F.xxhash64("node", "leaf"), F.lit(1 << 20)) * F.lit(1e-15)
         found = materialize(found.withColumn("projection", F.col("projection") + nudge), "projections")
@@ -199,6 +201,17 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     return rows.withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other")).drop("blocks", "other")
 
 
+def _label(rows: DataFrame, name: str) -> Column:
+    """A label of any type as text: equal labels, and only those, have equal texts."""
+    kind = rows.select(column(rows, name)).schema[0].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (column(rows, name) + 0).cast("string")  # -0.0 is 0.0
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column(rows, name))
+    nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType))
+    return F.to_json(column(rows, name)) if nested else column(rows, name).cast("string")
+
+
 def near_duplicates(
     rows: DataFrame,
     cosine: float = COSINE,
@@ -213,7 +226,7 @@ def near_duplicates(
     vector = column(rows, vector_col).cast("array<double>")
     every = rows.select(
         column(rows, id_col).cast("bigint").alias("vec_id"),
-        column(rows, label_col).cast("int").alias("label"),
+        _label(rows, label_col).alias("label"),
         vector.alias("vector"),
         F.monotonically_increasing_id().alias("row"),
     )
