@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import math
 import random
+import re
+import time
 import zlib
 from collections import defaultdict
 from decimal import Decimal
@@ -272,3 +275,52 @@ def test_forest_query_equals_brute_force(spark):
     count = {r.vec_id: 0 for r in rows} | {r.vec_id: int(n) for r, n in zip(fine, near.sum(1))}
     got = queries.op7_projection_tree_forest(spark, SF).collect()
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (count[i], component[i]) for i in count}
+
+
+def url_tokens(url):
+    host, path = (re.search(r"://([^/?#]*)([^?#]*)", url) or re.match("()()", "")).groups()
+    query = re.search(r"\?([^#]*)", url)
+    out = [f"host:{x}" for x in host.lower().split(".") if x] + [f"path:{x}" for x in path.split("/") if x]
+    out += [f"extension:{x}" for x in re.findall(r"\.([A-Za-z0-9]+)$", path)]
+    out += [f"query:{x.split('=')[0]}" for x in (query.group(1) if query else "").split("&") if x.split("=")[0]]
+    return {k + ":" + re.sub("[0-9]+", "0", v) for k, v in (x.split(":", 1) for x in out)}
+
+
+def test_mined_verdicts_equal_brute_force(spark):
+    """Every combination of tokens of an unlisted url, counted over the listed ones."""
+    rng = random.Random(7)
+    hosts = ["a.net", "b.net", "x.com", "www.example.com", "example.com", "c.org", "d.org"]
+    urls = []
+    for i in range(400):
+        path = "/".join(rng.choice(["en", "es", "fr", "ads", "ads", "shop", f"p{rng.randint(0, 99)}"]) for _ in range(rng.randint(1, 4)))
+        urls.append((i, f"http://{rng.choice(hosts)}/{path}{rng.choice(['', '.html', '?id=3&q', '?q'])}"))
+    urls += [(500, urls[3][1]), (501, urls[3][1]), (None, "http://c.org/ads"), (502, "http://c.org/" + "ads/" * 3000)]
+    pages = spark.createDataFrame(urls, "page_id bigint, url string")
+    mining = url_rules.Mining(0.02, 0.7)
+    got = url_rules.judge(pages, mining=mining).collect()
+    parts = url_rules.parts(pages, url_rules.RULES, "page_id", "url").collect()
+    listed = [(url_tokens(r.url), r.listed == "block") for r in parts if r.listed]
+    mined = 0
+    assert len(got) == len(urls)
+    for r in parts:
+        if r.listed:
+            continue
+        best, own = None, sorted(url_tokens(r.url))
+        for k in range(1, len(own) + 1):
+            for some in itertools.combinations(own, k):
+                verdicts = [b for t, b in listed if t.issuperset(some)]
+                if verdicts and sum(verdicts) >= mining.support * len(listed) and sum(verdicts) >= mining.confidence * len(verdicts):
+                    best = max(best or 0, sum(verdicts) / len(verdicts))
+        row = next(g for g in got if (g.page_id, g.host, g.path) == (r.page_id, r.host, r.path))
+        assert row.verdict == ("allow" if best is None else "block") and row.confidence == pytest.approx(best)
+        mined += best is not None
+    assert 0 < mined < sum(r.listed is None for r in parts)
+
+
+def test_a_shared_path_is_one_item(spark):
+    shared = "/".join(f"deep{chr(97 + k)}" for k in range(25))
+    urls = [(i, f"http://s{chr(97 + i % 26)}.net/es/{shared}/x") for i in range(40)] + [(100 + i, f"http://h.com/{chr(97 + i % 20)}") for i in range(2000)]
+    pages = spark.createDataFrame([*urls, (9999, "http://z.org/deepc")], "page_id bigint, url string")
+    began = time.time()
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages).collect()}
+    assert time.time() - began < 60 and got[9999] == "block" and got[100] == "allow" and got[0] == "block"

@@ -2,17 +2,20 @@
 
 A listed rule is a host and a beginning of the path; it fits its host, all
 subdomains, and paths that begin so; the longest fitting rule wins. Every url
-becomes a set of tokens (parts of host and path, extension, query keys), digits made alike. Frequent token
-combinations are mined by FP-growth over all urls, with the listed rules' blocks
-as a further token. Combinations that lead to a block are kept when they have the
-support and the confidence asked for (urls that no listed rule fits count against
-it) and no part of them has as much confidence. Each kept rule is indexed under
-its rarest token; a url no listed rule decides meets only the rules under its own
-tokens, and is blocked when it holds all tokens of one.
+becomes a set of tokens (parts of host and path, extension, query keys), digits made alike.
+
+Rules are mined from the listed urls, whose verdicts are the labels: token combinations
+that lead to a block, with the support and the confidence asked for. Tokens that hold in
+the very same labelled urls are one item, or else every subset of a shared path would be a
+combination; rarer tokens than the support can't be in a rule and are left out. FP-growth counts the
+combinations of items; those of which a part has as much confidence are dropped. Each kept rule is indexed
+under its rarest item; a url no listed rule decides meets only the rules under its own
+items, and is blocked when it holds one token or more of each item of a rule. That gives
+the verdicts that all combinations of single tokens would give.
 
 Defined cases: a null url, or one without ://, has an empty host and path, fits no
 listed rule and is allowed unless a mined rule of its tokens blocks it; repeated
-rows get their verdict each; an empty table gives an empty result.
+rows count, and get their verdict, each; without listed urls nothing is mined; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,10 +42,18 @@ BLOCKED = "verdict:block"
 
 @dataclass(frozen=True)
 class Mining:
-    """The least share of all urls that hold a rule, and the least share of those that are blocked."""
+    """The least share of the labelled urls that hold a rule and are blocked, and the least share of those that hold it.
+
+    A single url makes no rule, however few there are.
+    """
 
     support: float = 0.005
     confidence: float = 0.8
+    urls: int = 2
+
+    def least(self, labelled: int) -> float:
+        """The support as a share of so many labelled urls."""
+        return min(1.0, max(self.support, self.urls / max(1, labelled)) * (1 - 1e-12))  # as products round
 
 
 def _lower(text: Column) -> Column:
@@ -84,32 +95,55 @@ def tokens() -> Column:
     )
 
 
-def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
-    """(antecedent, confidence, support, anchor) of the rules that lead to a block, from (tokens, blocked)."""
-    items = labelled.select(
-        F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(BLOCKED)))).otherwise(F.col("tokens")).alias("items")
-    ).where(F.size("items") > 0)
+def items(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
+    """(token, item) of the tokens frequent enough for a rule; tokens of the very same rows share an item.
+
+    From (row, tokens). There are at most (tokens of a url, on average) / support of them.
+    """
+    n = labelled.count()
+    least = max(mining.least(n) * n, mining.urls)
+    each = labelled.select("row", F.explode("tokens").alias("token"))
+    mark = [F.bit_xor(F.xxhash64(F.lit(k), "row")).alias(f"mark{k}") for k in (1, 2)]
+    seen = each.groupBy("token").agg(F.count("*").alias("n"), *mark).where(F.col("n") >= least)
+    seen = materialize(seen, "tokens")
+    names = seen.groupBy("n", "mark1", "mark2").agg(F.min("token").alias("item"))
+    return materialize(seen.join(names, ["n", "mark1", "mark2"]).select("token", "item"), "items")
+
+
+def held(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(row, items) of (row, tokens), for rows that hold an item."""
+    each = rows.select("row", F.explode("tokens").alias("token")).join(known, "token")
+    return each.groupBy("row").agg(F.collect_set("item").alias("items"))
+
+
+def mine(labelled: DataFrame, known: DataFrame, mining: Mining = Mining()) -> DataFrame:
+    """(antecedent, confidence, support, anchor) of the rules that lead to a block, from (row, tokens, blocked)."""
+    marked = labelled.join(held(labelled, known), "row", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    marked = marked.select(
+        F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCKED)))).otherwise(F.col("items")).alias("items")
+    )
     schema = "antecedent array<string>, confidence double, support double, anchor string"
-    if items.isEmpty():
-        return items.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=mining.support, minConfidence=mining.confidence).fit(items)
+    n = marked.count()
+    if n < mining.urls:
+        return marked.sparkSession.createDataFrame([], schema)
+    model = FPGrowth(itemsCol="items", minSupport=mining.least(n), minConfidence=mining.confidence).fit(marked)
     found = model.associationRules.where(F.col("consequent")[0] == BLOCKED)
     found = materialize(found.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"), "rules")
     shorter = found.select(F.col("antecedent").alias("part"), F.col("confidence").alias("sure"))
-    # each rule against the rules over all but one of its tokens; a still shorter one prunes those first
+    # each rule against the rules over all but one of its items; a still shorter one prunes those first
     dropped = found.select(
         "antecedent", "confidence", F.explode(F.transform("antecedent", lambda x: F.array_remove("antecedent", x))).alias("part")
     )
     beaten = dropped.join(shorter, "part").where("sure >= confidence").select("antecedent").distinct()
-    alone = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    alone = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     rare = (
         found.join(beaten, "antecedent", "left_anti")
-        .withColumn("token", F.explode("antecedent"))
-        .join(alone, "token")
+        .withColumn("item", F.explode("antecedent"))
+        .join(alone, "item")
         .groupBy("antecedent", "confidence", "support")
-        .agg(F.min(F.struct("freq", "token")).alias("rarest"))
+        .agg(F.min(F.struct("freq", "item")).alias("rarest"))
     )
-    return materialize(rare.select("antecedent", "confidence", "support", F.col("rarest.token").alias("anchor")), "kept")
+    return materialize(rare.select("antecedent", "confidence", "support", F.col("rarest.item").alias("anchor")), "kept")
 
 
 def judge(
@@ -122,9 +156,11 @@ def judge(
     """One row per page: host, path, rule, verdict, and the confidence of the mined rule that blocks it."""
     rows = parts(pages, rules, id_col, url_col).withColumn("tokens", tokens())
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "urls")
-    mined = mine(rows.select("tokens", F.coalesce(F.col("listed") == "block", F.lit(False)).alias("blocked")), mining)
-    open_ = rows.where("rule is null").select("row", "tokens", F.explode("tokens").alias("anchor"))
-    hits = open_.join(mined, "anchor").where(F.size(F.array_except("antecedent", "tokens")) == 0)
+    labelled = rows.where("listed is not null").select("row", "tokens", (F.col("listed") == "block").alias("blocked"))
+    known = items(labelled, mining)
+    mined = mine(labelled, known, mining)
+    open_ = held(rows.where("listed is null").select("row", "tokens"), known).withColumn("anchor", F.explode("items"))
+    hits = open_.join(mined, "anchor").where(F.size(F.array_except("antecedent", "items")) == 0)
     hits = hits.groupBy("row").agg(F.max("confidence").alias("confidence"))
     verdict = F.coalesce("listed", F.when(F.col("confidence").isNotNull(), "block").otherwise("allow"))
     return rows.join(hits, "row", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "confidence")
