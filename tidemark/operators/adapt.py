@@ -69,6 +69,7 @@ def adapt_taxi(df: DataFrame) -> DataFrame:
             _optional(df, "fare_amount", "double").try_cast("double"),
         ).alias("amount"),
         F.coalesce(_whole(passengers, types.get("passenger_count", T.LongType())), F.lit(1)).alias("quantity"),
+        *[c for c in df.columns if c == "_metadata"],  # of a frame put together from several scans
     )
 
 

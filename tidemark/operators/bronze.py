@@ -14,4 +14,4 @@ def stamp(df: DataFrame, ingested_at: datetime, source_file: str | None = None)
     source_file is needed only for frames that were not scanned from files.
     """
     origin = F.col("_metadata.file_name") if source_file is None else F.lit(source_file)
-    return df.withColumns({"source_file": origin, "ingest_time": F.lit(ingested_at.isoformat())})
+    return df.withColumns({"source_file": origin, "ingest_time": F.lit(ingested_at.isoformat())}).drop("_metadata")

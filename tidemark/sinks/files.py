@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # No day of so small a table is too large for one task.
 SMALL_TABLE_ROWS = 4_000_000
+# Quotes within a value are doubled, as common readers expect; blanks around a value belong to it.
+CSV_FORM = {"quote": '"', "escape": '"'}
 
 
 def write_bronze(df: DataFrame, root: str, ingested_at: datetime, run_id: str) -> str:
@@ -27,7 +29,8 @@ def write_quarantine(df: DataFrame, root: str, run_id: str) -> str:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV files with headers; AQE leaves one file when the result is small."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, **CSV_FORM, **blanks).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tidemark.operators.incremental import load, newer_than
 from tidemark.operators.ranking import top_k
 from tidemark.operators.silver import latest_per_order, normalize, quarantined_rows, valid_rows
 from tidemark.plans import kpis, validation
-from tidemark.plans.full_run import merge_days, run
+from tidemark.plans.full_run import FACT_SIZED, merge_days, run
 from tidemark.plans.named_pack import run_named_pack
 from tidemark.session import materialize, scratch_path
 from tidemark.sinks.extracts import MAX_ROWS, publish_extracts
@@ -144,6 +145,84 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([tuple(counts)], ", ".join(f"{n} bigint" for n in [*names, *stored]))
 
 
+_TABLES = {
+    "fact_orders": ("fact", "length(order_id) + quantity + category_sk"),
+    "dim_customer": ("dim_customer", "length(customer_id)"),
+    "dim_product": ("dim_product", "length(product_id) + length(category)"),
+    "dim_category": ("dim_category", "category_sk * length(category)"),
+    "dim_date": ("(SELECT DISTINCT order_date FROM fact)", "year(order_date) * 400 + month(order_date) * 31 + day(order_date)"),
+    "dim_vendor": ("dim_customer", "length(customer_id)"),
+}
+_RESULTS = {
+    "kpi_orders_per_customer": ("(SELECT customer_id, count(*) AS order_count FROM fact GROUP BY 1)", "length(customer_id) * order_count"),
+    "kpi_quantity_by_category": ("(SELECT category, sum(quantity) AS units FROM fact GROUP BY 1)", "length(category) * units"),
+    "kpi_peak_hour": ("(SELECT hour(order_ts) AS order_hour, count(*) AS orders FROM fact GROUP BY 1)", "(order_hour + 1) * orders"),
+    "kpi_order_rank_per_customer": (
+        "(SELECT customer_id, row_number() OVER (PARTITION BY customer_id ORDER BY order_ts) AS rn FROM fact)",
+        "length(customer_id) * rn",
+    ),
+}
+
+
+def _sums_sql(sources: dict[str, tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS name, count(*) AS n, CAST(sum({value}) AS BIGINT) AS checksum FROM {source} AS t"
+        for name, (source, value) in sources.items()
+    )
+
+
+def _sums(frames: dict[str, DataFrame], sources: dict[str, tuple[str, str]]) -> DataFrame:
+    """The rows of stored tables and a sum that doesn't depend on their order."""
+    vendor = {"dim_vendor": "length(vendor_id)"}
+    rows = [
+        frames[name].agg(F.count("*").alias("n"), F.sum(F.expr(vendor.get(name, value))).cast("bigint").alias("checksum")).select(
+            F.lit(name).alias("name"), "n", "checksum"
+        )
+        for name, (_, value) in sources.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _stored_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The KPIs of a run, as their files hold them."""
+    out = {}
+    for name in _RESULTS:
+        fact_sized = name in FACT_SIZED
+        out[name] = spark.read.parquet(f"{root}/kpis/{name}") if fact_sized else spark.read.option("header", True).csv(f"{root}/kpis/{name}")
+    return out
+
+
+def _run_events(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    path, root = scratch_path(spark, "events.parquet"), scratch_path(spark, "lake")
+    views.raw_events(spark, sf_dir).write.parquet(path)
+    return root, run(spark, path, root).tables
+
+
+@check("full_run_tables", events(_sums_sql(_TABLES)))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sums(_run_events(spark, sf_dir)[1], _TABLES)
+
+
+@check("full_run_reports", events(_sums_sql(_RESULTS)))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _tables = _run_events(spark, sf_dir)
+    return _sums(_stored_results(spark, root), _RESULTS)
+
+
+@check("full_run_incremental", events(_sums_sql(_TABLES | _RESULTS)))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the second with all rows again, come to what one run makes of them."""
+    first, every, root = scratch_path(spark, "first.parquet"), scratch_path(spark, "every.parquet"), scratch_path(spark, "lake")
+    raw = views.raw_events(spark, sf_dir)
+    middle = raw.agg(F.date_trunc("day", F.percentile_approx("order_ts", 0.5)).alias("at"))
+    early = raw.join(F.broadcast(middle), F.col("order_ts") < F.col("at"), "left_semi")
+    early.write.parquet(first)
+    raw.write.parquet(every)
+    run(spark, first, root, reports=False)
+    tables = run(spark, every, root, incremental=True).tables
+    return _sums(tables | _stored_results(spark, root), _TABLES | _RESULTS)
+
+
 @check("incremental_noop", orders(f"SELECT {SILVER_SQL} FROM existing", FIRST_SILVER))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = _first_silver(spark, sf_dir)

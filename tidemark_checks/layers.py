@@ -20,6 +20,7 @@ from tidemark.operators.bronze import stamp
 from tidemark.operators.incremental import high_water_mark
 from tidemark.operators.star_join import enrich
 from tidemark.session import pin_utc, scratch_path
+from tidemark.sinks.files import write_csv
 from tidemark.sources.raw import read_raw
 
 SOURCE_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
@@ -73,6 +74,32 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _typed(read_raw(spark, path), source)
 
 
+NOTE_SQL = """SELECT o_orderkey, 'say "' || o_orderpriority || '", \\' || chr(10) || '"' || o_orderstatus || '",' AS note FROM orders"""
+
+
+@check("src_csv_quoted", NOTE_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values with quotes, commas, backslashes and line breaks, written and read."""
+    path, status = scratch_path(spark, "notes.csv"), F.concat(F.lit('\n"'), "o_orderstatus", F.lit('",'))
+    note = F.concat(F.lit('say "'), "o_orderpriority", F.lit('", \\'), status).alias("note")
+    source = views.table(spark, sf_dir, "orders").select("o_orderkey", note)
+    write_csv(source, path)
+    return _typed(read_raw(spark, path), source)
+
+
+@check("src_json_mixed_folder", SOURCE_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders as lines, half as arrays over many lines, in one folder."""
+    pin_utc(spark)
+    source, path = views.table(spark, sf_dir, "orders"), scratch_path(spark, "orders.json")
+    even = F.col("o_orderkey") % 8 < 4
+    lines = source.where(even).select(F.to_json(F.struct("*")).alias("value"), F.lit(-1).cast("bigint").alias("g"))
+    rest = source.where(~even).groupBy(F.expr("o_orderkey div 4000").alias("g"))
+    documents = rest.agg(F.to_json(F.collect_list(F.struct("*")), {"pretty": "true"}).alias("value")).select("value", "g")
+    lines.unionByName(documents).repartition("g").write.partitionBy("g").text(path)
+    return _typed(read_raw(spark, path), source)
+
+
 @check("adapt_taxi", trips(f"SELECT {CANONICAL_SQL} FROM raw", ""))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapt_taxi(views.trips(spark, sf_dir))
