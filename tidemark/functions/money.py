@@ -56,6 +56,11 @@ def partial_sums(c: Column, name: str) -> list[Column]:
     return [F.sum(part).alias(f"{name}__{key}") for key, part in _split(c).items()]
 
 
+def fine_rows(c: Column) -> Column:
+    """How many amounts add to the double beside the whole millionths; where none does, sums may be subtracted."""
+    return F.count(_split(c)["rest"])
+
+
 def resum(name: str) -> list[Column]:
     return [F.sum(f"{name}__{key}").alias(f"{name}__{key}") for key in _PARTS]
 

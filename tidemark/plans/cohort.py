@@ -15,11 +15,12 @@ def cohort_retention(fact: DataFrame) -> DataFrame:
     by customer, so a customer has at most one row per month of history then,
     and a cohort at most one row per month number.
     """
-    active = (
-        fact.where(F.col("customer_id").isNotNull())
-        .select("customer_id", month_of(F.col("order_ts")).alias("active_month"))
-        .distinct()
-    )
+    return retention_of(fact.select("customer_id", month_of(F.col("order_ts")).alias("active_month")).distinct())
+
+
+def retention_of(pairs: DataFrame) -> DataFrame:
+    """The same from the distinct (customer, active month) pairs."""
+    active = pairs.where(F.col("customer_id").isNotNull())
     first = F.min("active_month").over(Window.partitionBy("customer_id"))
     retention = (
         active.withColumn("cohort_month", first)

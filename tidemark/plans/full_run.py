@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,8 @@ from tidemark.operators.incremental import changed_days, merge_latest, newer_tha
 from tidemark.operators.profile import profile, summary
 from tidemark.operators.silver import latest_per_order, normalize, quarantined_rows, valid_rows
 from tidemark.operators.sizes import fits_broadcast
-from tidemark.plans.cohort import cohort_retention
+from tidemark.plans import totals as order_totals
+from tidemark.plans.cohort import retention_of
 from tidemark.plans.kpis import kpi_suite
 from tidemark.plans.validation import validation_suite
 from tidemark.session import materialize, pin_utc
@@ -133,8 +135,18 @@ def _stored_gold(spark: SparkSession, root: str, silver: State) -> dict[str, Dat
     state = fact.state()
     if state.version != silver.version:
         return None
-    stored = {name: spark.read.parquet(path) for name, path in _dimension_paths(root, state.version).items()}
-    return stored | {"fact_orders": fact.read(state)}
+    try:
+        stored = {name: spark.read.parquet(path) for name, path in _dimension_paths(root, state.version).items()}
+        totals = order_totals.stored_totals(spark, root, state.version)
+    except AnalysisException as error:  # stored before totals were kept
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return stored | _named(totals) | {"fact_orders": fact.read(state)}
+
+
+def _named(totals: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {f"totals_{name}": df for name, df in totals.items()}
 
 
 def _dimension_paths(root: str, version: str) -> dict[str, str]:
@@ -148,39 +160,50 @@ def _gold(
     """Bring the star in line with Silver and give its stored tables.
 
     The fact carries the version of the Silver it was built from, and that names
-    the folders of the dimensions too: its commit switches all of them over, and
-    readers of earlier ones are not disturbed. Only the changed days of the fact
-    are rebuilt when it was in line before this run and no category got another key.
+    the folders of the dimensions and totals too: its commit switches all of them over, and
+    readers of earlier ones are not disturbed. When Gold was in line before this run, only the
+    changed days of Silver are read: the totals take the difference, the dimensions are the
+    groups of the totals, and the fact's other days stay unless a category got another key.
     """
     spark = orders.sparkSession
     fact = Versions(spark, f"{root}/fact_orders")
     built_from = fact.state().version
-    star_tables = star.build_star(orders)
+    in_line = days is not None and built_from is not None and built_from == silver_was
+    totals = order_totals.refresh(
+        orders, root, silver_now.version, built_from if in_line else None, days, silver_now.rows, _at_once
+    )
+    if built_from == silver_now.version:  # only the totals were missing
+        return _stored_gold(spark, root, silver_now)
     paths = _dimension_paths(root, silver_now.version)
-    stored = {name: spark.read.schema(star_tables[name].schema) for name in paths}
-    if built_from != silver_now.version:
-        categories = star_tables["dim_category"]
-        in_line = days is not None and built_from is not None and built_from == silver_was
-        if in_line:
-            before = _dimension_paths(root, built_from)["dim_category"]
-            in_line = _same_rows(categories, stored["dim_category"].parquet(before))
-        first = [name for name in paths if name != "dim_vendor"]
-        _at_once([partial(write_parquet, star_tables[name], paths[name]) for name in first])
-        customers = stored["dim_customer"].parquet(paths["dim_customer"])
-        write_parquet(star.dim_vendor(customers), paths["dim_vendor"])
-
-        categories = stored["dim_category"].parquet(paths["dim_category"])
-        part = days if in_line else None
-        rows = orders if part is None else orders.where(F.col("order_date").isin(part))
-        # with the categories broadcast the fact keeps the day folders of Silver and needs no shuffle
-        small = fits_broadcast(categories, "category")
-        rows = star.fact_orders(rows, F.broadcast(categories) if small else categories)
-        fact.publish(rows, silver_now.version, part, at_most=silver_now.rows, in_place=small)
-    return {name: stored[name].parquet(path) for name, path in paths.items()} | {"fact_orders": fact.read()}
+    dimensions = {
+        "dim_customer": star.dim_customer(totals["customers"]),
+        "dim_product": star.dim_product(totals["products"]),
+        "dim_category": star.dim_category(totals["products"]),
+        "dim_date": star.dim_date(totals["hours"]),
+    }
+    _at_once([partial(write_parquet, df, paths[name]) for name, df in dimensions.items()])
+    stored = {name: spark.read.schema(df.schema).parquet(paths[name]) for name, df in dimensions.items()}
+    vendors = star.dim_vendor(stored["dim_customer"])
+    write_parquet(vendors, paths["dim_vendor"])
+    stored["dim_vendor"] = spark.read.schema(vendors.schema).parquet(paths["dim_vendor"])
+
+    categories = stored["dim_category"]
+    if in_line:
+        before = _dimension_paths(root, built_from)["dim_category"]
+        in_line = _same_rows(categories, spark.read.schema(categories.schema).parquet(before))
+    part = days if in_line else None
+    rows = orders if part is None else orders.where(F.col("order_date").isin(part))
+    # with the categories broadcast the fact keeps the day folders of Silver and needs no shuffle
+    small = fits_broadcast(categories, "category")
+    rows = star.fact_orders(rows, F.broadcast(categories) if small else categories)
+    fact.publish(rows, silver_now.version, part, at_most=silver_now.rows, in_place=small)
+    return stored | _named(totals) | {"fact_orders": fact.read()}
 
 
 def _report(tables: dict[str, DataFrame], root: str, exact_profile: bool, skip_mode: Sequence[str]) -> None:
-    results = kpi_suite(tables) | {"cohort_retention": cohort_retention(tables["fact_orders"])}
+    totals = {name: tables[f"totals_{name}"] for name in order_totals.kinds()}
+    results = kpi_suite(tables, order_totals.shared_sums(totals))
+    results["cohort_retention"] = retention_of(order_totals.active_months(totals["customers"]))
     writes = [
         partial(write_parquet if name in FACT_SIZED else write_csv, df, f"{root}/kpis/{name}")
         for name, df in results.items()

@@ -75,13 +75,27 @@ def orders_per_customer(customers: DataFrame) -> DataFrame:
 
 
 def peak_hour(fact: DataFrame) -> DataFrame:
-    hours = fact.groupBy(F.hour("order_ts").cast("bigint").alias("order_hour")).agg(F.count("*").alias("orders"))
+    return busiest(by_hour(fact))
+
+
+def by_hour(fact: DataFrame) -> DataFrame:
+    return fact.groupBy(F.hour("order_ts").cast("bigint").alias("order_hour")).agg(F.count("*").alias("orders"))
+
+
+def busiest(hours: DataFrame) -> DataFrame:
     return hours.orderBy(F.desc("orders"), "order_hour")
 
 
 def top_products(fact: DataFrame, k: int = 5) -> DataFrame:
-    revenue = fact.groupBy("product_id").agg(_revenue().alias("revenue"))
-    return revenue.orderBy(F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()).limit(k)
+    return greatest_products(by_product(fact), k)
+
+
+def by_product(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("product_id").agg(_revenue().alias("revenue"))
+
+
+def greatest_products(products: DataFrame, k: int = 5) -> DataFrame:
+    return products.orderBy(F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()).limit(k)
 
 
 def top_categories(categories: DataFrame, k: int = 5) -> DataFrame:
@@ -149,16 +163,24 @@ def customer_ntile(customers: DataFrame, buckets: int = 4, rows_per_task: int =
     return ntile(totals, buckets, ascending, "revenue_quartile", rows_per_task)
 
 
-def kpi_suite(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def kpi_suite(tables: Mapping[str, DataFrame], sums: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The twelve KPIs over stored Gold tables, by the name each result is stored under.
 
     What several KPIs share is summed up and stored once, not scanned from the
-    fact for each.
+    fact for each. sums gives what is summed up already (see totals.shared_sums); only the
+    rank of each order then reads the fact.
     """
     fact = tables["fact_orders"]
-    days = materialize(by_day(fact), "by_day")
-    customers = materialize(by_customer(fact), "by_customer")
-    categories = materialize(by_category(fact, tables["dim_category"]), "by_category")
+    sums = sums or {
+        "days": by_day(fact),
+        "customers": by_customer(fact),
+        "categories": by_category(fact, tables["dim_category"]),
+        "hours": by_hour(fact),
+        "products": by_product(fact),
+    }
+    days = materialize(sums["days"], "by_day")
+    customers = materialize(sums["customers"], "by_customer")
+    categories = materialize(sums["categories"], "by_category")
     return {
         "kpi_daily_revenue": daily_revenue(days),
         "kpi_top_categories": top_categories(categories),
@@ -168,8 +190,8 @@ def kpi_suite(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "kpi_customer_ntile": customer_ntile(customers),
         "kpi_avg_order_value": avg_order_value(days),
         "kpi_orders_per_customer": orders_per_customer(customers),
-        "kpi_peak_hour": peak_hour(fact),
-        "kpi_top_products": top_products(fact),
+        "kpi_peak_hour": busiest(sums["hours"]),
+        "kpi_top_products": greatest_products(sums["products"]),
         "kpi_revenue_by_week": revenue_by_week(days),
         "kpi_quantity_by_category": quantity_by_category(categories),
     }

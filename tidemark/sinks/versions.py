@@ -108,6 +108,10 @@ class Versions:
             parts.append(shaped(reader.parquet(*paths), state.schema))
         return reduce(DataFrame.union, parts)
 
+    def written_by(self, version: str, schema: T.StructType) -> DataFrame:
+        """The rows that one publish wrote, as they were written."""
+        return self.spark.read.schema(schema).parquet(f"{self.root}/data/version={version}")
+
     def publish(
         self,
         df: DataFrame,
@@ -115,16 +119,18 @@ class Versions:
         days: list[date] | None = None,
         at_most: int | None = None,
         in_place: bool = False,
+        before: State | None = None,
     ) -> None:
         """Replace the given days (all, when none are given) with the rows of df, which has no others.
 
         at_most bounds the rows of df where the caller knows a bound; in_place
-        says that they are read from a table by day and not shuffled since.
+        says that they are read from a table by day and not shuffled since; before is the
+        state if the caller has just read it.
         """
-        before = self.state()
+        before = before or self.state()
         path = f"{self.root}/data/version={version}"
         write_by_day(df, path, DAY, self.order_by, at_most, in_place)
-        written = self.spark.read.schema(df.schema).parquet(path)
+        written = self.written_by(version, df.schema)
         newest = F.max(self.high_water_column) if self.high_water_column else F.lit(None).cast("timestamp_ntz")
         per_day = written.groupBy(DAY).agg(F.count("*").alias("rows"), newest.alias("high_water")).collect()
 
