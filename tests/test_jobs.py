@@ -14,7 +14,7 @@ from tests.data import CANONICAL_SCHEMA, ORDERS_CSV, write_text
 from tidemark import session
 from tidemark.operators import profile
 from tidemark.operators.incremental import changed_days, high_water_mark, load, merge_latest, newer_than
-from tidemark.operators.relax import common_type
+from tidemark.operators.relax import common_type, relaxed_union
 from tidemark.plans.full_run import merge_days, run
 from tidemark.sinks.extracts import publish_extracts
 from tidemark.sinks.files import write_bronze, write_by_day
@@ -130,6 +130,19 @@ def test_types_may_change_between_batches(spark, folder):
     assert (wide.precision, wide.scale) == (21, 2) and common_type(T.IntegerType(), T.DoubleType()) == T.DoubleType()
 
 
+def test_nested_types_meet_part_by_part(spark):
+    a = spark.sql("SELECT 1 AS id, named_struct('n', 1, 'gone', 'g') AS s, array(1) AS l, map('k', 1) AS m, array('x') AS t")
+    b = spark.sql(
+        "SELECT 2 AS id, named_struct('new', named_struct('x', 1L), 'n', 2.5D) AS s, array(2L) AS l, map('k', 'v') AS m, 'text' AS t"
+    )
+    c = spark.sql("SELECT 3 AS id, CAST(NULL AS STRUCT<n: INT>) AS s")
+    got = {r.id: r for r in relaxed_union(a, b, c).collect()}
+    assert got[1].s.asDict(recursive=True) == {"n": 1.0, "gone": "g", "new": None}
+    assert got[2].s.asDict(recursive=True) == {"n": 2.5, "gone": None, "new": {"x": 1}}
+    assert (got[1].l, got[2].l, got[1].m, got[2].m) == ([1], [2], {"k": "1"}, {"k": "v"})
+    assert (got[1].t, got[2].t, got[3].s, got[3].l) == ('["x"]', "text", None, None)
+
+
 def test_nested_values_are_told_apart(spark):
     df = spark.sql("SELECT array('a, b') AS x UNION ALL SELECT array('a', 'b')")
     assert profile.profile(df).first().distinct_count == 2

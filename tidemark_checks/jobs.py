@@ -16,7 +16,7 @@ from tidemark.operators import profile
 from tidemark.operators.bronze import stamp
 from tidemark.operators.incremental import load, newer_than
 from tidemark.operators.ranking import top_k
-from tidemark.operators.silver import latest_per_order, normalize, quarantined_rows, valid_rows
+from tidemark.operators.silver import build_silver, latest_per_order, normalize, quarantined_rows, valid_rows
 from tidemark.plans import kpis, validation
 from tidemark.plans.full_run import FACT_SIZED, merge_days, run
 from tidemark.plans.named_pack import run_named_pack
@@ -24,6 +24,7 @@ from tidemark.session import materialize, scratch_path
 from tidemark.sinks.extracts import MAX_ROWS, publish_extracts
 from tidemark.sinks.files import write_bronze, write_by_day, write_quarantine
 from tidemark.sinks.versions import Versions
+from tidemark.sources.layers import read_layer
 from tidemark.sources.raw import PREVIEW_ROWS, preview
 
 FIRST_BATCH_ENDS = "1999-01-01"
@@ -69,6 +70,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("order_date").agg(F.count("*").alias("orders"))
 
 
+@check("src_layer_recursive", events(f"SELECT {CANONICAL_SQL}, CASE WHEN quantity > 1 THEN 'deep' END AS origin FROM silver", SILVER))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver in files at two depths, one of which has a column more."""
+    path, silver = scratch_path(spark, "layer"), materialize(build_silver(views.raw_events(spark, sf_dir)), "silver")
+    silver.where("quantity <= 1").write.parquet(f"{path}/a")
+    silver.where("quantity > 1").withColumn("origin", F.lit("deep")).write.parquet(f"{path}/b/run=1/part")
+    return read_layer(spark, path)
+
+
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_rows(normalize(views.raw_orders(spark, sf_dir)))
 
@@ -124,6 +134,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(first.withColumn("origin", F.lit("first")), _valid(spark, sf_dir))
 
 
+@check(
+    "incremental_merge_nested",
+    orders(
+        """SELECT order_id, updated_at, key, CAST(units AS DOUBLE) AS units, tag FROM (SELECT *, row_number() OVER (PARTITION BY order_id
+               ORDER BY updated_at DESC) AS place FROM (
+             SELECT order_id, updated_at, order_id AS key, quantity AS units, NULL AS tag FROM existing UNION ALL
+             SELECT order_id, updated_at, NULL, quantity + 0.5, category FROM valid
+              WHERE updated_at > (SELECT max(updated_at) FROM existing)))
+           WHERE place = 1""",
+        FIRST_SILVER,
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A struct that loses a field, gains one and changes the type of a third stays a struct."""
+    had = F.struct(F.col("order_id").alias("key"), F.col("quantity").alias("units"))
+    has = F.struct((F.col("quantity") + F.lit(0.5)).alias("units"), F.array("category").alias("tags"))
+    merged = load(_first_silver(spark, sf_dir).withColumn("detail", had), _valid(spark, sf_dir).withColumn("detail", has))
+    return merged.select("order_id", "updated_at", "detail.key", "detail.units", F.get("detail.tags", F.lit(0)).alias("tag"))
+
+
 @check(
     "full_run_counts",
     events(
