@@ -33,6 +33,7 @@ TYPES = {
     "INTEGER": "int",
     "DOUBLE": "double",
     "VARCHAR": "string",
+    "BOOLEAN": "boolean",
     "DATE": "date",
     "TIMESTAMP": "timestamp_ntz",
 }

@@ -22,7 +22,7 @@ def test_contract(spark):
     queries, oracle = contract.queries(), contract.oracle_sql()
     assert set(oracle) <= set(queries)
     own = set(queries) - set(contract.LLM_QUERIES)
-    assert own - set(oracle) == {"profile_approximate"}
+    assert own - set(oracle) == set()
     assert contract.entry(spark).columns == ["order_day", "revenue"]
 
 

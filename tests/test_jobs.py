@@ -13,9 +13,11 @@ from pyspark.sql import types as T
 from tests.data import CANONICAL_SCHEMA, ORDERS_CSV, write_text
 from tidemark import session
 from tidemark.operators import profile
+from tidemark.operators.adapt import CANONICAL_COLUMNS
 from tidemark.operators.incremental import changed_days, high_water_mark, load, merge_latest, newer_than
 from tidemark.operators.relax import common_type, relaxed_union
 from tidemark.plans.full_run import merge_days, run
+from tidemark.plans.retention import vacuum_tables
 from tidemark.sinks.extracts import publish_extracts
 from tidemark.sinks.files import write_bronze, write_by_day
 from tidemark.sinks.versions import Versions
@@ -143,6 +145,82 @@ def test_nested_types_meet_part_by_part(spark):
     assert (got[1].t, got[2].t, got[3].s, got[3].l) == ('["x"]', "text", None, None)
 
 
+def test_old_states_are_freed(spark, folder):
+    table = Versions(spark, f"{folder}/t", high_water_column="updated_at", checkpoint_every=3)
+    table.publish(frame(spark, *FIRST), "v1")
+    for i in range(2, 8):  # the first day again and again; the second stays as it was
+        table.publish(frame(spark, order("a", 1, 5, float(i)), order("b", 1, 3)), f"v{i}", [date(2026, 1, 1)])
+    # one checkpoint and the commits after it
+    assert sorted(Path(p).parent.name[-1] for p in table._log().inputFiles()) == ["6", "7"]
+    assert table._log().where("day IS NULL").count() == 3  # the heads of v1, v6 and v7
+    state = table.state()
+    assert state.versions == {date(2026, 1, 1): "v7", date(2026, 1, 2): "v1"} and state.whole == {"v7"}
+    assert (state.seq, state.rows, state.high_water) == (7, 3, datetime(2026, 2, 5))
+    assert amounts(table.read(table.state(4))) == [("a", 4.0), ("b", 1.0), ("c", 1.0)]
+
+    reader = table.read(table.state(5))
+    Path(f"{folder}/t/data/version=dead/order_date=2026-01-09").mkdir(parents=True)  # a run that died
+    Path(f"{folder}/t/commits/{8:020d}").mkdir()
+    gone = {p.removeprefix(f"{folder}/t/data/") for p in table.vacuum(keep=3)}
+    assert gone == {"version=v1/order_date=2026-01-01", "version=dead", *[f"version=v{i}" for i in range(2, 5)]}
+    assert amounts(reader) == [("a", 5.0), ("b", 1.0), ("c", 1.0)]
+    assert table.state() == state and table.state(5).seq == 5 and table.state(4).seq == 0
+    assert table.recent_versions(9) == {"v5", "v6", "v7"} and table.vacuum(keep=9) == []
+
+    table.publish(frame(spark, order("a", 1, 9, 8.0)), "v8")
+    assert table.state().versions == {date(2026, 1, 1): "v8"}
+    assert len(table.vacuum(keep=1)) == 4 and amounts(table.read()) == [("a", 8.0)]
+    with pytest.raises(ValueError):
+        table.vacuum(keep=0)
+
+
+def test_freeing_the_tables_of_a_job(spark, folder):
+    assert vacuum_tables(spark, f"{folder}/nothing", keep=1) == []
+    header = ",".join(n for n in CANONICAL_COLUMNS)
+    for i, name in enumerate(("one.csv", "two.csv", "three.csv")):
+        line = f"k{i},c{i},p,2025-03-0{i + 1}T07:00:00,2025-04-0{i + 1}T09:00:00,Art,{i + 1},1"
+        path = write_text(folder, name, f"{header}\n{line}")
+        last = run(spark, path, f"{folder}/out", incremental=True, reports=False)
+        if i == 1:
+            before = last
+    gone = vacuum_tables(spark, f"{folder}/out", keep=2)
+    assert any("dim_customer" in p for p in gone) and any("totals" in p for p in gone)
+    assert before.tables["fact_orders"].count() == 2 and before.tables["dim_customer"].count() == 2
+    vacuum_tables(spark, f"{folder}/out", keep=1)
+    assert last.tables["fact_orders"].count() == 3 and last.tables["dim_customer"].count() == 3
+    again = run(spark, f"{folder}/three.csv", f"{folder}/out", incremental=True, reports=False)
+    assert not again.changed and again.tables["dim_date"].count() == 3
+    path = write_text(folder, "four.csv", f"{header}\nk0,c9,p,2025-03-01T07:00:00,2025-05-01T09:00:00,Art,5,1")
+    moved = run(spark, path, f"{folder}/out", incremental=True, reports=False)
+    assert moved.silver_rows == 3 and {r.customer_id for r in moved.tables["dim_customer"].collect()} == {"c1", "c2", "c9"}
+
+
+def test_estimates_are_held_against_exact_figures(spark):
+    rows = [(f"k{i}", "often" if i % 5 == 0 else f"v{i % 300}", float(i % 97), i if i % 3 else None) for i in range(3000)]
+    df = spark.createDataFrame([*rows, (None, None, None, 10**6)], "k string, s string, d double, n bigint")
+    rough = profile.profile(df, exact=False)
+    checked = {r.column: r[2:] for r in profile.within_bounds(df, rough).collect()}
+    assert checked == {"k": (True, True, None), "s": (True, True, None), "d": (True, None, True), "n": (True, None, True)}
+    assert {r.column: r.top_category for r in rough.collect()}["s"] == "often"
+    wrong = rough.withColumns(
+        {
+            "distinct_count": F.col("distinct_count") * 2,
+            "outlier_count": F.col("outlier_count") + 900,
+            "top_category": F.when(F.col("column") == "s", "v1").otherwise(F.col("top_category")),
+        }
+    )
+    checked = {r.column: r[2:] for r in profile.within_bounds(df, wrong).collect()}
+    assert checked["s"] == (False, False, None) and checked["d"] == (False, None, False) and checked["n"][2] is False
+    empty = profile.profile(df.limit(0), exact=False)
+    assert all(False not in r[2:] for r in profile.within_bounds(df.limit(0), empty).collect())
+
+
+def test_unique_columns_need_no_count(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3)], "id string, n int")
+    exact, known = profile.profile(df), profile.profile(df, unique=["id", "n"])
+    assert exact.collect() == known.collect() and known.first().top_category == "b"
+
+
 def test_nested_values_are_told_apart(spark):
     df = spark.sql("SELECT array('a, b') AS x UNION ALL SELECT array('a', 'b')")
     assert profile.profile(df).first().distinct_count == 2

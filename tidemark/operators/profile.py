@@ -27,6 +27,12 @@ SUMMARY_COLUMNS = ["column", "null_rate", "distinct_count", "outlier_count"]
 WHISKER = 1.5
 FEWEST_VALUES = 4
 
+# Of estimates: the relative standard error of distinct counts; quartiles are off by at most one in
+# RANK_PARTS of the values; so many values are tracked for the most frequent one.
+DISTINCT_ERROR = 0.01
+RANK_PARTS = 100_000
+TRACKED = 100_000
+
 
 def _of(df: DataFrame, *kinds: type) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
@@ -44,8 +50,11 @@ def _text(c: Column, dtype: T.DataType) -> Column:
     return plain_double(c.cast("double")) if isinstance(dtype, (T.DoubleType, T.FloatType)) else c.cast("string")
 
 
-def _ranges(df: DataFrame) -> DataFrame:
-    """One row per column with its nulls and range, from one pass without a shuffle of rows."""
+def _ranges(df: DataFrame, unique: Sequence[str] = ()) -> DataFrame:
+    """One row per column with its nulls and range, from one pass without a shuffle of rows.
+
+    unique_value is the greatest value, as text, of the columns that hold no value twice.
+    """
     ranged = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
     aggregates = [F.count("*").alias("rows")]
     for i, field in enumerate(df.schema.fields):
@@ -53,6 +62,8 @@ def _ranges(df: DataFrame) -> DataFrame:
         aggregates.append(F.count(c).alias(f"n{i}"))
         if isinstance(field.dataType, ranged):
             aggregates += [F.min(c).alias(f"min{i}"), F.max(c).alias(f"max{i}")]
+        if field.name in unique:
+            aggregates.append(F.max(_as_text(df, field.name)).alias(f"unique{i}"))
 
     def line(i: int, field: T.StructField) -> Column:
         has_range = isinstance(field.dataType, ranged)
@@ -65,38 +76,56 @@ def _ranges(df: DataFrame) -> DataFrame:
             F.col(f"n{i}").alias("present"),
             low.cast("string").alias("min_value"),
             high.cast("string").alias("max_value"),
+            (F.col(f"unique{i}") if field.name in unique else F.lit(None).cast("string")).alias("unique_value"),
         )
 
     lines = [line(i, field) for i, field in enumerate(df.schema.fields)]
     return df.agg(*aggregates).select(F.inline(F.array(*lines)))
 
 
-def _cells(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:
-    """The non-null values of the columns as (column, value) rows."""
-    doubles = _of(df, T.DoubleType, T.FloatType)
+def _as_text(df: DataFrame, name: str) -> Column:
+    """A value as text; unlike values differ as text."""
+    c = F.col(f"`{name}`")
+    if name in _of(df, T.ArrayType, T.MapType, T.StructType):  # as text, ['a, b'] and ['a', 'b'] would be alike
+        return F.to_json(c)
     # adding 0.0 makes -0.0 and 0.0 the same value
-    nested = _of(df, T.ArrayType, T.MapType, T.StructType)  # as text, ['a, b'] and ['a', 'b'] would be alike
+    return (c + F.lit(0.0) if name in _of(df, T.DoubleType, T.FloatType) else c).cast("string")
+
+
+def _histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column, value, number, n) per distinct value, counted in the map tasks first.
 
-    def value(c: str) -> Column:
-        if c in nested:
-            return F.to_json(F.col(f"`{c}`"))
-        return (F.col(f"`{c}`") + F.lit(0.0) if c in doubles else F.col(f"`{c}`")).cast(to)
+    Numbers that a double holds exactly have no text in `value`, other numbers have both, and all else has only text.
+    """
+    numbers = numeric_columns(df)
+    as_double = _of(df, T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType)
+
+    def cell(c: str) -> Column:
+        number = (F.col(f"`{c}`").cast("double") + F.lit(0.0)) if c in numbers else F.lit(None).cast("double")
+        return F.struct(
+            (F.lit(None).cast("string") if c in as_double else _as_text(df, c)).alias("value"), number.alias("number")
+        )
 
-    values = [value(c).alias(c) for c in columns]
-    return df.select(*values).unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
+    cells = df.select(*[cell(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "cell")
+    cells = cells.select("column", "cell.value", "cell.number").where("value IS NOT NULL OR number IS NOT NULL")
+    return cells.groupBy("column", "value", "number").agg(F.count("*").alias("n"))
 
 
-def _histogram(df: DataFrame, columns: Sequence[str], to: str) -> DataFrame:
-    """Rows per (column, value), counted in the map tasks first."""
-    return _cells(df, columns, to).groupBy("column", "value").agg(F.count("*").alias("n"))
+def _numbers(histogram: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, n) of the numbers in a histogram."""
+    return histogram.where(F.col("column").isin(list(columns))).select("column", F.col("number").alias("value"), "n")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values of each column, and the most frequent (of equally frequent ones the greatest)."""
-    counts = _histogram(df, list(columns or df.columns), "string")
-    return counts.groupBy("column").agg(
+    return _counts(_histogram(df, list(columns or df.columns)))
+
+
+def _counts(histogram: DataFrame) -> DataFrame:
+    value = F.coalesce("value", F.col("number").cast("string"))
+    return histogram.groupBy("column").agg(
         F.count("*").alias("distinct_values"),
-        F.max_by("value", F.struct("n", "value")).alias("most_frequent"),
+        F.max_by(value, F.struct("n", value)).alias("most_frequent"),
     )
 
 
@@ -106,20 +135,26 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     return counts.select("column", F.col("most_frequent").alias("top_category"))
 
 
-def quartiles(histogram: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Nearest-rank quartiles per column of a stored (column, value, n) histogram."""
+def quartiles(histogram: DataFrame, rows_per_task: int = ROWS_PER_TASK, apart: Column | None = None) -> DataFrame:
+    """Nearest-rank quartiles per column of a stored (column, value, n) histogram.
+
+    With apart, a count of ranks as an expression of `present`, the values so many ranks below the first
+    quartile and above the third, as far as there are any.
+    """
+    apart = F.lit(0) if apart is None else apart
     counted = running(histogram, [F.col("value").asc()], ["column"], "n", "_upto", rows_per_task)
     sizes = histogram.groupBy("column").agg(F.sum("n").alias("present"))
     # one row per column, hence the broadcast
     ranked = counted.join(F.broadcast(sizes), "column")
 
-    def at(share: float) -> Column:
-        rank = F.floor((F.col("present") - 1) * F.lit(share) + F.lit(0.5))
+    def at(share: float, moved: Column) -> Column:
+        rank = F.floor((F.col("present") - 1) * F.lit(share) + F.lit(0.5)) + moved
+        rank = F.least(F.greatest(rank, F.lit(0)), F.col("present") - 1)
         inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("n") <= rank)
         return F.max(F.when(inside, F.col("value")))
 
     return ranked.groupBy("column").agg(
-        F.first("present").alias("present"), at(0.25).alias("q1"), at(0.75).alias("q3")
+        F.first("present").alias("present"), at(0.25, -apart).alias("q1"), at(0.75, apart).alias("q3")
     )
 
 
@@ -133,65 +168,106 @@ def _bounds(quarts: DataFrame) -> DataFrame:
     )
 
 
-def outliers(
-    df: DataFrame,
-    columns: Sequence[str] | None = None,
-    exact: bool = True,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def outliers(df: DataFrame, columns: Sequence[str] | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Values beyond 1.5 interquartile ranges of the quartiles, per numeric column.
 
-    Columns of fewer than four values or without a spread count none. Exact
-    quartiles come from a stored histogram of the distinct values; otherwise
-    they are approximate and the values are read twice instead.
+    Columns of fewer than four values or without a spread count none. The quartiles are exact, from
+    a stored histogram of the distinct values.
     """
     columns = list(columns or numeric_columns(df))
-    if exact:
-        cells = materialize(_histogram(df, columns, "double"), "histogram")
-        quarts = quartiles(cells, rows_per_task)
-    else:
-        cells = _cells(df, columns, "double").withColumn("n", F.lit(1))
-        quarts = (
-            cells.groupBy("column")
-            .agg(F.count("*").alias("present"), F.percentile_approx("value", [0.25, 0.75], 100_000).alias("q"))
-            .select("column", "present", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
-        )
-    outside = F.col("judged") & ((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
+    cells = _numbers(materialize(_histogram(df, columns), "histogram"), columns)
+    return outside(cells, quartiles(cells, rows_per_task))
+
+
+def outside(cells: DataFrame, quarts: DataFrame) -> DataFrame:
+    """Values of a (column, value, n) histogram beyond the whiskers that quartiles give."""
+    beyond = F.col("judged") & ((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
     # one row per column, hence the broadcast
     judged = cells.join(F.broadcast(_bounds(quarts)), "column")
-    return judged.groupBy("column").agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outlier_count"))
+    return judged.groupBy("column").agg(F.sum(F.when(beyond, F.col("n")).otherwise(0)).alias("outlier_count"))
 
 
-def _approximate_counts(df: DataFrame, modes: Sequence[str]) -> DataFrame:
-    counts = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(df.columns)])
-    lines = [F.struct(F.lit(c).alias("column"), F.col(f"`{i}`").alias("distinct_values")) for i, c in enumerate(df.columns)]
-    distinct = counts.select(F.inline(F.array(*lines)))
-    if not modes:
-        return distinct.withColumn("most_frequent", F.lit(None).cast("string"))
-    frequent = value_counts(df, modes).select("column", "most_frequent")
-    return distinct.join(frequent, "column", "left")
+def _exact(df: DataFrame, numbers: Sequence[str], unique: Sequence[str]) -> DataFrame:
+    """Counts per column from one stored histogram; unique columns needn't be in it unless they are numbers."""
+    columns = [c for c in df.columns if c in numbers or c not in unique]
+    histogram = materialize(_histogram(df, columns), "histogram")
+    counted = _counts(histogram)
+    if not numbers:
+        return counted.withColumn("outlier_count", F.lit(None).cast("bigint"))
+    cells = _numbers(histogram, numbers)
+    return counted.join(outside(cells, quartiles(cells)), "column", "left")
 
 
-def profile(df: DataFrame, exact: bool = True, skip_mode: Sequence[str] = ()) -> DataFrame:
+def estimates(df: DataFrame, modes: Sequence[str]) -> DataFrame:
+    """Distinct counts, quartiles, most frequent values and outliers per column, estimated by sketches.
+
+    Two passes, in which each task sends one sketch a column, so no value is shuffled. A distinct
+    count has a relative standard error of DISTINCT_ERROR; a quartile is off by at most one in RANK_PARTS of
+    the values; the most frequent value is exact, but for ties, where a column has at most TRACKED values.
+    """
+    numbers = numeric_columns(df)
+    sketches = []
+    for i, name in enumerate(df.columns):
+        c = F.col(f"`{name}`")
+        nested = name in _of(df, T.ArrayType, T.MapType, T.StructType)
+        sketches.append(F.approx_count_distinct(_as_text(df, name) if nested else c, DISTINCT_ERROR).alias(f"distinct{i}"))
+        if name in numbers:
+            quarts = F.percentile_approx(c.cast("double"), [0.25, 0.75], RANK_PARTS)
+            sketches += [F.count(c).alias(f"present{i}"), quarts.alias(f"quarts{i}")]
+        if name in modes:
+            # a null may be one of the two most frequent
+            sketches.append(F.call_function("approx_top_k", c, F.lit(2), F.lit(TRACKED)).alias(f"top{i}"))
+    first = materialize(df.agg(*sketches), "estimates")  # a single row
+
+    def line(i: int, name: str, outlying: Column) -> Column:
+        top = F.filter(F.col(f"top{i}"), lambda x: x["item"].isNotNull())
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.col(f"distinct{i}").alias("distinct_values"),
+            (F.get(top, F.lit(0))["item"].cast("string") if name in modes else F.lit(None).cast("string")).alias("most_frequent"),
+            outlying.cast("bigint").alias("outlier_count"),
+        )
+
+    counts: dict[int, Column] = {}
+    if numbers:
+        kept = [f"{kind}{i}" for i, name in enumerate(df.columns) if name in numbers for kind in ("present", "quarts")]
+        known = first.select(F.struct(*kept)).scalar()
+        for i, name in enumerate(df.columns):
+            if name in numbers:
+                value, quarts = F.col(f"`{name}`").cast("double"), known[f"quarts{i}"]
+                iqr = quarts[1] - quarts[0]
+                beyond = (value < quarts[0] - F.lit(WHISKER) * iqr) | (value > quarts[1] + F.lit(WHISKER) * iqr)
+                counts[i] = F.count_if((known[f"present{i}"] >= FEWEST_VALUES) & (iqr != 0) & beyond).alias(f"outliers{i}")
+    if counts:
+        found = materialize(df.agg(*counts.values()), "outliers")  # a single row
+        out = found.select(F.struct("*")).scalar()
+    lines = [line(i, c, out[f"outliers{i}"] if i in counts else F.lit(None)) for i, c in enumerate(df.columns)]
+    return first.select(F.inline(F.array(*lines)))
+
+
+def profile(
+    df: DataFrame, exact: bool = True, skip_mode: Sequence[str] = (), unique: Sequence[str] = ()
+) -> DataFrame:
     """One row per column of the frame, in its order; null counts as a distinct value.
 
-    exact=False estimates distinct counts and quartiles in single passes and
-    looks for the most frequent value only in text columns outside skip_mode.
+    exact=False estimates distinct counts, quartiles and the most frequent values (see `estimates`),
+    the latter only in text columns outside skip_mode. unique names columns known to hold no value
+    twice, such as the order ids of Silver: they needn't be counted.
     """
     modes = [c for c in text_columns(df) if c not in skip_mode]
     numbers = numeric_columns(df)
-    out = _ranges(df).join(value_counts(df) if exact else _approximate_counts(df, modes), "column", "left")
-    if numbers:
-        out = out.join(outliers(df, numbers, exact), "column", "left")
-    else:
-        out = out.withColumn("outlier_count", F.lit(None).cast("bigint"))
+    counts = _exact(df, numbers, unique) if exact else estimates(df, [c for c in modes if c not in unique])
+    out = _ranges(df, unique).join(counts, "column", "left")
     nulls = F.col("rows") - F.col("present")
+    known = F.col("column").isin(list(unique))
+    top = F.when(known, F.col("unique_value")).otherwise(F.col("most_frequent"))
     return (
         out.withColumns(
             {
                 "null_rate": nulls / F.greatest(F.col("rows"), F.lit(1)),
-                "distinct_count": F.coalesce("distinct_values", F.lit(0)) + (nulls > 0).cast("bigint"),
-                "top_category": F.when(F.col("column").isin(modes), F.col("most_frequent")),
+                "distinct_count": F.when(known, F.col("present")).otherwise(F.coalesce("distinct_values", F.lit(0)))
+                + (nulls > 0).cast("bigint"),
+                "top_category": F.when(F.col("column").isin(modes), top),
                 "outlier_count": F.when(F.col("column").isin(numbers), F.coalesce("outlier_count", F.lit(0))),
             }
         )
@@ -202,3 +278,43 @@ def profile(df: DataFrame, exact: bool = True, skip_mode: Sequence[str] = ()) ->
 
 def summary(profiled: DataFrame) -> DataFrame:
     return profiled.select(*SUMMARY_COLUMNS)
+
+
+def within_bounds(df: DataFrame, estimated: DataFrame) -> DataFrame:
+    """Whether each figure of an estimated profile of df is as near to the exact one as `estimates` says.
+
+    One row per column: distinct counts within five standard errors; a most frequent value found as
+    often as any other, or short of it by what the sketch may lose beyond TRACKED values; outliers between the counts for
+    quartiles as far apart, and as close, as the bound of their ranks allows. Null where there is no such figure.
+    """
+    numbers = numeric_columns(df)
+    histogram = materialize(_histogram(df, df.columns), "histogram")
+    exact = histogram.groupBy("column").agg(
+        F.count("*").alias("distinct_values"), F.max("n").alias("most"), F.sum("n").alias("present")
+    )
+    # one row per column, hence the broadcasts
+    named = F.broadcast(estimated.select("column", "top_category")).alias("e")
+    hit = (F.col("h.column") == F.col("e.column")) & (F.col("h.value") == F.col("e.top_category"))
+    hits = histogram.alias("h").join(named, hit).select("h.column", F.col("h.n").alias("found"))
+    out = estimated.join(F.broadcast(exact), "column", "left").join(F.broadcast(hits), "column", "left")
+
+    ranks = F.ceil(F.col("present") / F.lit(RANK_PARTS)) + F.lit(1)
+    for name, apart in (("fewest", ranks), ("highest", -ranks)):
+        quarts = quartiles(_numbers(histogram, numbers), apart=apart)
+        beyond = outside(_numbers(histogram, numbers), quarts).withColumnRenamed("outlier_count", name)
+        out = out.join(F.broadcast(beyond), "column", "left")
+        out = out.join(F.broadcast(quarts.select("column", (F.col("q3") - F.col("q1")).alias(f"{name}_iqr"))), "column", "left")
+    distinct = F.coalesce("distinct_values", F.lit(0))
+    counted = F.col("distinct_count") - (F.col("null_rate") > 0).cast("bigint")
+    lost = F.when(distinct > TRACKED, F.ceil(F.col("present") * F.lit(3.5 / TRACKED))).otherwise(0)
+    between = (F.col("outlier_count") >= F.col("fewest")) & (F.col("outlier_count") <= F.col("highest"))
+    return out.select(
+        "column",
+        "null_rate",
+        (F.abs(counted - distinct) <= F.lit(5 * DISTINCT_ERROR) * distinct).alias("distinct_within"),
+        F.when(F.col("top_category").isNotNull(), F.coalesce("found", F.lit(0)) >= F.col("most") - lost).alias("top_within"),
+        # with quartiles that may be equal, any count is possible
+        F.when(F.col("outlier_count").isNotNull(), F.coalesce(between | (F.col("highest_iqr") <= 0), F.lit(True))).alias(
+            "outliers_within"
+        ),
+    )

@@ -209,7 +209,7 @@ def _report(tables: dict[str, DataFrame], root: str, exact_profile: bool, skip_m
         for name, df in results.items()
     ]
     writes += [partial(write_csv, df, f"{root}/validation/{name}") for name, df in validation_suite(tables).items()]
-    profiled = materialize(profile(tables["silver_orders"], exact=exact_profile, skip_mode=skip_mode), "profile")
+    profiled = materialize(profile(tables["silver_orders"], exact=exact_profile, skip_mode=skip_mode, unique=["order_id"]), "profile")
     writes += [
         partial(write_csv, profiled, f"{root}/reports/data_profile"),
         partial(write_csv, summary(profiled), f"{root}/reports/data_quality_summary"),

@@ -275,6 +275,20 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.read()
 
 
+@check("stored_table_vacuumed", events(f"SELECT {CANONICAL_SQL}, CAST(order_ts AS DATE) AS order_date FROM silver", SILVER))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events published in four lots, of which only the last state is kept."""
+    table = Versions(spark, scratch_path(spark, "silver"), high_water_column="updated_at", checkpoint_every=2)
+    every = latest_per_order(valid_rows(normalize(views.raw_events(spark, sf_dir)))).withColumn("order_date", F.to_date("order_ts"))
+    every = materialize(every, "orders")
+    table.publish(every, "lot0")
+    for lot in range(1, 4):
+        part = every.where(F.dayofmonth("order_date") % 4 == lot)
+        table.publish(part, f"lot{lot}", [r.order_date for r in part.select("order_date").distinct().collect()])
+    table.vacuum(keep=1)
+    return table.read()
+
+
 # (column, Spark type, kind) of Silver over the driver's tables
 PROFILED = [
     ("order_id", "string", "text"),
@@ -321,7 +335,7 @@ PROFILE_SQL = " UNION ALL ".join(_profile_sql(*line) for line in PROFILED)
 
 @check("profile_columns", orders(PROFILE_SQL, SILVER))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.profile(views.stored_silver(spark, sf_dir))
+    return profile.profile(views.stored_silver(spark, sf_dir), unique=["order_id"])
 
 
 @check(
@@ -329,7 +343,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders(f'SELECT "column", null_rate, distinct_count, outlier_count FROM ({PROFILE_SQL})', SILVER),
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.summary(profile.profile(views.stored_silver(spark, sf_dir)))
+    return profile.summary(profile.profile(views.stored_silver(spark, sf_dir), unique=["order_id"]))
 
 
 @check(
@@ -360,9 +374,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.outliers(views.silver(spark, sf_dir))
 
 
-@check("profile_approximate")
+def _within_sql(c: str, kind: str) -> str:
+    return f"""SELECT '{c}' AS "column", CAST(count(*) - count({c}) AS DOUBLE) / greatest(count(*), 1) AS null_rate,
+        TRUE AS distinct_within, {"TRUE" if kind == "text" and c != "order_id" else "CAST(NULL AS BOOLEAN)"} AS top_within,
+        {"TRUE" if kind == "number" else "CAST(NULL AS BOOLEAN)"} AS outliers_within FROM silver"""
+
+
+@check("profile_approximate", orders(" UNION ALL ".join(_within_sql(c, kind) for c, _, kind in PROFILED), SILVER))
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.profile(views.stored_silver(spark, sf_dir), exact=False, skip_mode=["order_id"])
+    """Whether the estimates of a profile are within their bounds."""
+    silver = views.stored_silver(spark, sf_dir)
+    return profile.within_bounds(silver, profile.profile(silver, exact=False, skip_mode=["order_id"]))
 
 
 @check(
