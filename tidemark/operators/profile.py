@@ -27,9 +27,10 @@ SUMMARY_COLUMNS = ["column", "null_rate", "distinct_count", "outlier_count"]
 WHISKER = 1.5
 FEWEST_VALUES = 4
 
-# Of estimates: the relative standard error of distinct counts; quartiles are off by at most one in
+# Of estimates: the relative standard error of distinct counts, which sketches of 2 ** SLOT_BITS slots keep; quartiles are off by at most one in
 # RANK_PARTS of the values; so many values are tracked for the most frequent one.
 DISTINCT_ERROR = 0.01
+SLOT_BITS = 14
 RANK_PARTS = 100_000
 TRACKED = 100_000
 
@@ -209,8 +210,8 @@ def estimates(df: DataFrame, modes: Sequence[str]) -> DataFrame:
     sketches = []
     for i, name in enumerate(df.columns):
         c = F.col(f"`{name}`")
-        nested = name in _of(df, T.ArrayType, T.MapType, T.StructType)
-        sketches.append(F.approx_count_distinct(_as_text(df, name) if nested else c, DISTINCT_ERROR).alias(f"distinct{i}"))
+        hashed = c if name in _of(df, T.LongType, T.IntegerType, T.StringType, T.BinaryType) else _as_text(df, name)
+        sketches.append(F.hll_sketch_estimate(F.hll_sketch_agg(hashed, SLOT_BITS)).alias(f"distinct{i}"))
         if name in numbers:
             quarts = F.percentile_approx(c.cast("double"), [0.25, 0.75], RANK_PARTS)
             sketches += [F.count(c).alias(f"present{i}"), quarts.alias(f"quarts{i}")]
