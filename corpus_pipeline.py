@@ -38,7 +38,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     small_batches(spark)
-    return jaccard_join.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT, most_parts=jaccard_join.PARTS)
+    return jaccard_join.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,3 +139,39 @@ def test_an_empty_corpus(spark, folder):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_near_copies_that_bounded_parts_miss(spark):
+    """Two long texts at 0.8 whose differences fall in the first 64 parts of each band they join on."""
+    import numpy as np
+
+    from tidemark.llm import jaccard_join as J
+
+    size, percent = corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT
+
+    def shingles(words):
+        data, off = W.text_bytes(pa.array([" ".join(words)], pa.string()))
+        return next(J.shingle_sets(data, off, 0, 1, size))
+
+    rng = random.Random(5)
+    a = [f"w{i}" for i in range(8000)]
+    runs = np.array([shingles(a[i : i + size])[0] for i in range(len(a) - size + 1)])
+    starts = np.array(J.bands(8 * len(runs)))
+    own = int(np.searchsorted(starts, len(runs), "right")) - 1
+    b = list(a)
+    for band in (own, own + 1):
+        top = int(starts[band + 1]) - 1
+        parts = max(J.PARTS, int((J.difference(top, top, percent) + 1) / 1.5))
+        part = ((runs >> np.uint64(33)) % np.uint64(parts)).astype(int)
+        for p in range(J.PARTS):
+            at = np.flatnonzero(part == p)
+            if len(at) and all(b[i] == a[i] for i in range(at[0], at[0] + size)):
+                b[at[0]] = f"x{rng.randrange(10**9)}"
+    one, two = shingles(a), shingles(b)
+    assert J.linked(len(set(one.tolist()) & set(two.tolist())), len(one), len(two), percent)
+    capped = set(J.parity_keys(one, percent, starts, J.PARTS).tolist())
+    assert not capped & set(J.parity_keys(two, percent, starts, J.PARTS).tolist())
+
+    docs = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b)), (3, "lone words here")], "doc_id bigint, text string")
+    kept = corpus_pipeline.one_of_similar(spark, docs, "unused").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3]
