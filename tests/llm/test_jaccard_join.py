@@ -119,3 +119,27 @@ def test_bounded_parts_find_similar_sets():
         keys = J.parity_keys(a, 80, starts, J.PARTS)
         assert len(keys) <= 2 * J.PARTS
         assert set(keys.tolist()) & set(J.parity_keys(b, 80, starts, J.PARTS).tolist())
+
+
+def test_no_written_frame_holds_every_bucket_key(spark, monkeypatch):
+    """The classes' bucket keys are shuffled once; only the members of buckets with two classes are written."""
+    written, keys = {}, []
+
+    def counted(df, name="table"):
+        out = materialize(df, name)
+        if name == "sketches":
+            keys.append(out.dropDuplicates(["n", "one", "two"]).select(F.sum(F.size("keys"))).first()[0])
+        else:
+            written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    materialize = J.materialize
+    monkeypatch.setattr(J, "materialize", counted)
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = J.similar_documents(docs).collect()
+    sets, component = wanted(texts)
+    assert {r.id: (r.n_shingles, r.component_id) for r in got} == {
+        i: (len(sets[i]), component[i]) for i in range(len(texts))
+    }
+    assert max(written.values()) < keys[0]

@@ -365,9 +365,11 @@ def similar_classes(rows: DataFrame, size: int, percent: int, most_parts: int |
         docs.where("n > 0").groupBy("n", "one", "two").agg(F.min("row").alias("node"), F.min("id").alias("least")), "classes"
     )
     first = sketches.select("row", "keys").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    buckets = materialize(first.select(F.explode("keys").alias("key"), F.col("row").alias("node")), "buckets")
-    shared = buckets.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
-    members = materialize(buckets.join(materialize(shared, "shared"), "key"), "members")
+    # the keys are shuffled once and only those of buckets with two classes or more are written
+    buckets = first.select(F.explode("keys").alias("key"), F.col("row").alias("node"))
+    bucket = Window.partitionBy("key")
+    shared = buckets.withColumns({"a": F.min("node").over(bucket), "b": F.max("node").over(bucket)})
+    members = materialize(shared.where("a <> b").select("key", "node"), "members")
 
     wanted = members.select(F.col("node").alias("row")).distinct()
     wanted = sketches.select("uid", "text_key", "row").join(wanted, "row").withColumnRenamed("row", "node")
