@@ -143,3 +143,46 @@ def test_no_written_frame_holds_every_bucket_key(spark, monkeypatch):
         i: (len(sets[i]), component[i]) for i in range(len(texts))
     }
     assert max(written.values()) < keys[0]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_similar_sets_share_as_many_buckets_as_each_needs(percent):
+    rng = np.random.default_rng(4)
+    starts = np.array(J.bands(5000))
+    tried = 0
+    for _ in range(1500):
+        n = int(rng.integers(5, 700))
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        most = n * (100 - percent) // percent
+        gone, extra = int(rng.integers(0, most + 1)), int(rng.integers(0, most + 1))
+        if rng.random() < 0.3:  # all differences on one side
+            gone, extra = rng.permutation([most, 0])
+        b = np.concatenate([a[gone:], rng.integers(0, 1 << 63, extra, dtype=np.uint64)])
+        if not (gone or extra) or not J.linked(n - gone, n, len(b), percent):
+            continue
+        tried += 1
+        mine, other = J.parity_bands(a, percent, starts), J.parity_bands(b, percent, starts)
+        shared = [(int(((x == y) & (x > 0)).sum()), p, q) for k, p, x in mine for l, q, y in other if k == l]
+        assert any(both >= max(p, q) for both, p, q in shared), (n, gone, extra)
+    assert tried > 300
+
+
+def test_unlike_sets_of_a_size_write_no_sets(spark, monkeypatch):
+    """Unlike texts of a size, all with one passage: none shares as many buckets as a similar pair would."""
+    written = {}
+
+    def counted(df, name="table"):
+        out = materialize(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    materialize = J.materialize
+    monkeypatch.setattr(J, "materialize", counted)
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    texts = [[*(f"w{rng.randrange(10**6)}" for _ in range(200)), *passage] for _ in range(60)]
+    texts.append([*texts[0][:-1], "last"])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    kept = J.one_of_each(docs, 5, 80).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == list(range(60))
+    assert written["sets"] == 2

@@ -12,10 +12,14 @@ sets agree in at least e + 1 of them. Sizes are cut into geometric bands, each
 with its own number of parts; a set also visits the next band where a similar
 larger set could lie. Buckets are the parts' values, joined over the cluster.
 
-Parts with fewer than `light` shingles would make large buckets of unlike sets. As
-at most e of a set's parts may be so light, one of the agreeing parts is not, and
-light parts needn't be joined; sets with more light parts than e join on these as
-well, among themselves.
+A set's size bounds its own differences more closely than the band does, so a set
+knows of more parts in which all that are similar must agree with it. Parts with
+fewer than `light` shingles (below 9/10: without any) would make large buckets of unlike
+sets. Where a set has fewer of them than it must agree in, one of the agreeing parts is
+not light, and its light parts aren't joined; it then shares at least as many buckets
+with every similar set as there are parts to agree in beyond its light ones. Other sets join on all
+parts, among themselves on the light ones too. A set that shares fewer buckets with
+any others than it would with a similar one is like none and leaves its band.
 
 A bucket of many near copies isn't expanded into pairs. In each of a few rounds every
 set that is still apart from its bucket's leader is compared exactly with one leader,
@@ -55,7 +59,7 @@ ROUNDS = 2
 BLOCK = 512
 PARTS = 64  # a bound of parts for similarities below 0.9, where exactness would take a third of the shingles
 BITS = 26  # of a hash that picks a bit of the bitmap of wanted rows, which thus has 8 MB at every input size
-SKETCHES = "uid bigint, text_key bigint, id bigint, n int, one bigint, two bigint, keys array<bigint>"
+SKETCHES = "uid bigint, text_key bigint, id bigint, n int, one bigint, two bigint, keys array<int>, first int, band int, need array<int>"
 
 
 def difference(a, b, percent: int = PERCENT):
@@ -75,14 +79,17 @@ def bands(largest: int) -> list[int]:
     return out
 
 
-def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray, most: int | None = None) -> np.ndarray:
-    """The buckets of a set: its own band's and, where need be, the next one's.
+def parity_bands(shingles: np.ndarray, percent: int, starts: np.ndarray, most: int | None = None) -> list[tuple[int, int, np.ndarray]]:
+    """The band, the need and the parts' values of a set in its own band and, where need be, the next one.
+
+    A value has 32 bits, which with band and part name its bucket; sets that meet by chance are compared. It is 0
+    where the set doesn't join on the part. With each similar set it shares as many buckets as it needs, at least.
 
     Where more than `most` parts would be needed, the set joins on `most` of fewer,
     larger ones. A part of linked sets then agrees with a chance of at least about
     exp(-1.5), each for itself, so that 64 miss one link in ten million.
     """
-    n, out, light_size = len(shingles), [], 3 if percent >= 90 else 2
+    n, out = len(shingles), []
     own = int(np.searchsorted(starts, n, "right")) - 1
     reach = n * 100 // percent
     for band in range(own, own + 2):
@@ -92,8 +99,7 @@ def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray, most: in
         least_parts = difference(top, top, percent) + 1
         if least_parts == 1:
             continue  # only equal sets can link
-        spare = least_parts // 8
-        parts = least_parts + spare
+        parts = least_parts + least_parts // 8
         some = most is not None and parts > most
         if some:
             parts = max(most, int(least_parts / 1.5))
@@ -103,14 +109,23 @@ def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray, most: in
         full = np.flatnonzero(size)
         value = np.zeros(parts, np.uint64)
         value[full] = np.bitwise_xor.reduceat(shingles[order], (np.cumsum(size) - size)[full])
-        light = size < light_size
+        light = size < (3 if percent >= 90 else 2 if some else 1)
         place = W.mix((np.uint64(band) << np.uint64(40)) + np.arange(parts, dtype=np.uint64) * np.uint64(2) + light)
-        keys = W.mix(value ^ place)
-        if some:
-            out.append(keys[:most][~light[:most]])
-        else:
-            out.append(keys if light.sum() > spare else keys[~light])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        values = np.maximum(W.mix(value ^ place) >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+        need = parts - difference(n, min(top, reach), percent) - int(light.sum())
+        if some or need > 0:
+            values[light] = 0
+        out.append((band, 1, values[:most]) if some else (band, max(need, 1), values))
+    return out
+
+
+def parity_keys(shingles: np.ndarray, percent: int, starts: np.ndarray, most: int | None = None) -> np.ndarray:
+    """The buckets of a set in all its bands."""
+    out = [np.zeros(0, np.uint64)]
+    for band, _, values in parity_bands(shingles, percent, starts, most):
+        part = np.flatnonzero(values).astype(np.uint64)
+        out.append((np.uint64(band) << np.uint64(56)) + (part << np.uint64(32)) + values[values > 0].astype(np.uint64))
+    return np.concatenate(out)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, lo: int, hi: int, size: int) -> Iterator[np.ndarray]:
@@ -131,24 +146,28 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, lo: int, hi: int, size: int)
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
     ends = np.cumsum([0, *[len(p) for p in parts]]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64 if flat.itemsize == 8 else np.int32)))
 
 
 def _sketches(size: int, percent: int, most: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts = np.array(bands(1000))
+        starts, none = np.array(bands(1000)), np.zeros(0, np.uint32)
         for batch in batches:
             data, off = W.text_bytes(batch.column("text"))
             for lo, hi in W.slices(off, SLICE_BYTES):
                 sets = list(shingle_sets(data, off, lo, hi, size))
                 largest = max(map(len, sets))
                 starts = starts if starts[-1] > 4 * largest else np.array(bands(8 * largest))
+                joins = [parity_bands(s, percent, starts, most) if len(s) else [] for s in sets]
                 sums = [[int(W.mix(s ^ np.uint64(c)).sum(dtype=np.uint64)) for s in sets] for c in (11, 13)]
                 yield pa.RecordBatch.from_pydict(
                     {k: batch.column(k).slice(lo, hi - lo) for k in ("uid", "text_key", "id")}
                     | {"n": pa.array([len(s) for s in sets], pa.int32())}
                     | {k: pa.array(np.array(v, np.uint64).view(np.int64)) for k, v in zip(("one", "two"), sums)}
-                    | {"keys": _lists([parity_keys(s, percent, starts, most) if len(s) else s for s in sets])}
+                    | {"keys": _lists([np.concatenate([none, *[values for _, _, values in x]]) for x in joins])}
+                    | {"first": pa.array([len(x[0][2]) if x else 0 for x in joins], pa.int32())}
+                    | {"band": pa.array([x[0][0] if x else 0 for x in joins], pa.int32())}
+                    | {"need": pa.array([[need for _, need, _ in x] for x in joins], pa.list_(pa.int32()))}
                 )
 
     return run
@@ -364,19 +383,31 @@ def similar_classes(rows: DataFrame, size: int, percent: int, most_parts: int |
     classes = materialize(
         docs.where("n > 0").groupBy("n", "one", "two").agg(F.min("row").alias("node"), F.min("id").alias("least")), "classes"
     )
-    first = sketches.select("row", "keys").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    first = sketches.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    # a seat is a class in one of its two bands
+    buckets = first.select("row", "first", "band", F.posexplode("keys").alias("at", "value")).where("value <> 0")
+    second, value = (F.col("at") >= F.col("first")).cast("bigint"), F.col("value").cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))
+    part = F.shiftleft(F.col("at") - second * F.col("first"), 32)
+    buckets = buckets.select(
+        (F.shiftleft(F.col("band") + second, 56) + part + value).alias("key"), (F.col("row") * 2 + second).alias("seat")
+    )
+    needs = first.select("row", F.posexplode("need").alias("at", "need")).select((F.col("row") * 2 + F.col("at")).alias("seat"), "need")
     # the keys are shuffled once and only those of buckets with two classes or more are written
-    buckets = first.select(F.explode("keys").alias("key"), F.col("row").alias("node"))
     bucket = Window.partitionBy("key")
-    shared = buckets.withColumns({"a": F.min("node").over(bucket), "b": F.max("node").over(bucket)})
-    members = materialize(shared.where("a <> b").select("key", "node"), "members")
+    shared = buckets.withColumns({"a": F.min("seat").over(bucket), "b": F.max("seat").over(bucket)})
+    shared = materialize(shared.where("a <> b").select("key", "seat"), "shared")
+    # no set that is similar to one of fewer shared buckets than it needs lies in that band
+    enough = shared.groupBy("seat").agg(F.count("*").alias("shared")).join(needs, "seat").where("shared >= need")
+    enough = materialize(enough.select("seat"), "enough")
+    members = materialize(shared.join(enough, "seat").select("key", F.shiftright("seat", 1).alias("node")), "members")
 
     wanted = members.select(F.col("node").alias("row")).distinct()
     wanted = sketches.select("uid", "text_key", "row").join(wanted, "row").withColumnRenamed("row", "node")
     wanted = materialize(wanted, "wanted")
     sets = _among(rows.select("uid", "text_key", "text"), wanted, ["uid", "text_key"]).join(wanted, ["uid", "text_key"])
-    sets = sets.select("node", "text").mapInArrow(_sets(size, percent), "node bigint, n int, bits binary, shingles array<bigint>")
-    sets = materialize(sets.dropDuplicates(["node"]), "sets")
+    # repeated rows go before their sets are made: the join has dealt the texts out by these columns, the sets needn't be
+    sets = sets.dropDuplicates(["uid", "text_key"]).select("node", "text")
+    sets = materialize(sets.mapInArrow(_sets(size, percent), "node bigint, n int, bits binary, shingles array<bigint>"), "sets")
 
     labels = materialize(components(class_links(members, sets, percent)), "labels")
     named = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
